@@ -74,7 +74,8 @@ def _report(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.word_count(fixtures.table(spark, sf_dir, "documents"), column="text")
+    documents = fixtures.spread(fixtures.table(spark, sf_dir, "documents"), "doc_id")
+    return O.word_count(documents, column="text")
 
 
 def _cleaned_text(comments: DataFrame) -> DataFrame:

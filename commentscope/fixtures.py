@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from .schemas import COMMENTS
 
 
+# Declared, so that a read needs no job to look at file footers.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "documents": "doc_id bigint, text string",
+    "labels": "doc_id bigint, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame, column: str) -> DataFrame:
+def spread(df: DataFrame, column: str) -> DataFrame:
     """Give every core a share of an input too small to have that many splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, column) if df.rdd.getNumPartitions() < cores else df
@@ -24,12 +32,11 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     The number of documents enters as a literal: as a joined value it would turn the join with
     the documents into a nested loop as soon as the text is filtered.
     """
-    events = _spread(table(spark, sf_dir, "events"), "event_id")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    documents = table(spark, sf_dir, "documents")
     n_documents = documents.count()
-
     number = F.col("event_id")
+    events = table(spark, sf_dir, "events").withColumn("doc_id", number % n_documents)
+
     columns = {
         "type": F.lit("comment"),
         "id": number.cast("string"),
@@ -45,8 +52,8 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score": F.when(number % 89 != 0, (number * 53) % 307 - 100),
     }
     return (
-        events.withColumn("doc_id", number % n_documents)
-        .join(documents, "doc_id")
-        .join(labels, "doc_id", "left")
+        spread(events, "doc_id")
+        .join(spread(documents, "doc_id"), "doc_id")
+        .join(table(spark, sf_dir, "labels"), "doc_id", "left")
         .select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in COMMENTS])
     )

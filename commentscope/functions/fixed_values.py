@@ -54,6 +54,7 @@ RANKING_NEUTRAL_CLASS = "Neutro"
 SPIKE = "Pico Alto"
 DROP = "Caída Brusca"
 
-# Characters that survive text cleaning, as the inside of a regex class.
-LETTERS = "a-záéíóúñü"
-DIGITS = "0-9"
+# Characters that survive text cleaning. They are listed one by one because a
+# regex class of single Latin letters is a bit table, and one with ranges is not.
+LETTERS = "abcdefghijklmnopqrstuvwxyzáéíóúñü"
+DIGITS = "0123456789"

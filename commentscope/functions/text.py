@@ -32,19 +32,3 @@ def tokens(
     """
     kept = LETTERS + (DIGITS if keep_digits else "") + (INNER_WHITESPACE if join_lines else "")
     return F.regexp_extract_all(F.lower(text), F.lit(f"[{kept}]{{{min_length},}}"), F.lit(0))
-
-
-def distinct_terms(text: Column, stop_words: list[str]) -> Column:
-    """Distinct tokens that are no stop words."""
-    found = tokens(text)
-    if not stop_words:
-        return F.array_distinct(found)
-    return F.array_except(found, F.lit(stop_words))
-
-
-def all_terms(text: Column, stop_words: list[str]) -> Column:
-    """Tokens that are no stop words, repeats kept."""
-    found = tokens(text)
-    if not stop_words:
-        return found
-    return F.filter(found, lambda t: ~t.isin(stop_words))

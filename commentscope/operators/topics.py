@@ -7,34 +7,45 @@ from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import all_terms, distinct_terms
+from ..functions.text import tokens
 from ..storage import durable
 
 
-def _documents(comments: DataFrame, count_terms: bool, language: str) -> DataFrame:
-    stop_words = StopWordsRemover.loadDefaultStopWords(language)
-    terms = (all_terms if count_terms else distinct_terms)(F.col("body"), stop_words)
-    return comments.where(F.col("body").isNotNull()).select(terms.alias("terms"))
+def _documents(comments: DataFrame) -> DataFrame:
+    return comments.where(F.col("body").isNotNull()).select(tokens(F.col("body")).alias("terms"))
 
 
 def _term_counts(documents: DataFrame, count_terms: bool) -> DataFrame:
-    """Occurrences and documents per term, in one aggregation."""
+    """Documents and occurrences per term; without `count_terms` a document counts a term once."""
+    once = F.array_distinct("terms")
     if not count_terms:
-        counts = documents.select(F.explode("terms").alias("term")).groupBy("term")
-        return counts.agg(F.count("*").alias("documents")).withColumn(
+        per_term = documents.select(F.explode(once).alias("term")).groupBy("term")
+        return per_term.agg(F.count("*").alias("documents")).withColumn(
             "occurrences", F.col("documents")
         )
-    occurrence = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
-    presence = F.transform(
-        F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first"))
+    # Each document lists its terms, and after them each distinct term once more.
+    listed = documents.select(
+        F.size("terms").alias("length"),
+        F.posexplode(F.concat("terms", once)).alias("place", "term"),
+    )
+    return listed.groupBy("term").agg(
+        F.count_if(F.col("place") >= F.col("length")).alias("documents"),
+        F.count_if(F.col("place") < F.col("length")).alias("occurrences"),
     )
+
+
+def _vocabulary(
+    documents: DataFrame, size: int, min_documents: float, count_terms: bool, language: str
+) -> DataFrame:
+    if min_documents < 1:
+        min_documents = min_documents * documents.count()
+    # Stop words go after counting: a look at each distinct term instead of each token.
+    stop_words = StopWordsRemover.loadDefaultStopWords(language)
     return (
-        documents.select(F.inline(F.concat(occurrence, presence)))
-        .groupBy("term")
-        .agg(
-            F.sum("first").alias("documents"),
-            F.count_if(F.col("first") == 0).alias("occurrences"),
-        )
+        _term_counts(documents, count_terms)
+        .where((F.col("documents") >= min_documents) & ~F.col("term").isin(stop_words))
+        .orderBy(F.desc("occurrences"), "term")
+        .limit(size)
     )
 
 
@@ -46,26 +57,12 @@ def topic_vocabulary(
     count_terms: bool = False,
     language: str = "english",
 ) -> DataFrame:
-    """The `size` most frequent terms that occur in at least `min_documents` documents.
+    """The `size` most frequent terms, without stop words, that occur in at least
+    `min_documents` documents.
 
     Below 1, `min_documents` is a share of the documents. Equal counts go by term.
     """
-    return _vocabulary(
-        _documents(comments, count_terms, language), size, min_documents, count_terms
-    )
-
-
-def _vocabulary(
-    documents: DataFrame, size: int, min_documents: float, count_terms: bool
-) -> DataFrame:
-    if min_documents < 1:
-        min_documents = min_documents * documents.count()
-    return (
-        _term_counts(documents, count_terms)
-        .where(F.col("documents") >= min_documents)
-        .orderBy(F.desc("occurrences"), "term")
-        .limit(size)
-    )
+    return _vocabulary(_documents(comments), size, min_documents, count_terms, language)
 
 
 def lda_topics(
@@ -86,12 +83,13 @@ def lda_topics(
     vocabulary, which alone comes to the driver (`vocabulary_size` terms), one that stores the
     sparse vectors, and one per iteration over the stored vectors.
     """
-    documents = _documents(comments, count_terms, language)
-    rows = _vocabulary(documents, vocabulary_size, min_documents, count_terms).collect()
-    terms = [row["term"] for row in rows]
+    documents = _documents(comments)
+    vocabulary = _vocabulary(documents, vocabulary_size, min_documents, count_terms, language)
+    terms = [row["term"] for row in vocabulary.collect()]
     if not terms:
         raise ValueError(f"no term occurs in at least {min_documents} documents")
 
+    # The vectorizer passes over terms outside the vocabulary, stop words among them.
     vectorizer = CountVectorizerModel.from_vocabulary(
         terms, inputCol="terms", outputCol="features"
     ).setBinary(not count_terms)

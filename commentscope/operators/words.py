@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fixed_values import WORD_NEUTRAL_CLASS
-from ..functions.labels import polarity
+from ..functions.fixed_values import NEGATIVE_CLASS, POSITIVE_CLASS, WORD_NEUTRAL_CLASS
 from ..functions.text import tokens
 
 # Spark cuts a ranked window to the wanted ranks before its shuffle up to this many ranks.
@@ -48,19 +47,36 @@ def top_words_by_sentiment(
     line break count as one; `join_lines=False` parts them at any whitespace.
     """
     words = tokens(F.col("body"), min_length=min_length, join_lines=join_lines)
-    counts = (
+    sentiment = F.col("sentiment")
+    # Counting all classes per word shuffles one row a word, not one a word and class.
+    by_word = (
         comments.select(
-            polarity(F.col("sentiment"), sentiment_cut, WORD_NEUTRAL_CLASS).alias(
-                "sentiment_categoria"
-            ),
+            (sentiment > sentiment_cut).alias("positive"),
+            (sentiment < -sentiment_cut).alias("negative"),
             F.explode(words).alias("word"),
         )
-        .groupBy("sentiment_categoria", "word")
-        .agg(F.count("*").alias("frecuencia"))
+        .groupBy("word")
+        .agg(
+            F.count_if("positive").alias("positive"),
+            F.count_if("negative").alias("negative"),
+            F.count("*").alias("total"),
+        )
     )
+    in_class = {
+        POSITIVE_CLASS: F.col("positive"),
+        NEGATIVE_CLASS: F.col("negative"),
+        WORD_NEUTRAL_CLASS: F.col("total") - F.col("positive") - F.col("negative"),
+    }
+    classes = [
+        F.struct(F.lit(label).alias("sentiment_categoria"), count.alias("frecuencia"))
+        for label, count in in_class.items()
+    ]
+    counts = by_word.select(F.inline(F.array(*classes)), "word").where(F.col("frecuencia") > 0)
     order = [F.desc("frecuencia"), F.asc("word")]
-    return _leading(counts, "sentiment_categoria", order, top_n).orderBy(
-        "sentiment_categoria", "rank"
+    return (
+        _leading(counts, "sentiment_categoria", order, top_n)
+        .select("sentiment_categoria", "word", "frecuencia", "rank")
+        .orderBy("sentiment_categoria", "rank")
     )
 
 
