@@ -1,0 +1,91 @@
+"""Physical plans: what must reach the scan, and what must not appear."""
+
+import contextlib
+import io
+import re
+
+import pytest
+
+from commentscope import fixtures
+from commentscope import operators as O
+from commentscope.plans import summary as S
+from pyspark.sql import functions as F
+
+
+def plan(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def scanned_columns(text):
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", text)
+    return {part.split(":")[0] for schema in schemas for part in schema.split(",") if part}
+
+
+NARROW = {
+    O.daily_trend: {"created_utc", "sentiment"},
+    O.hourly_pattern: {"created_utc", "sentiment", "score"},
+    O.activity_anomalies: {"created_utc", "sentiment"},
+    O.sentiment_check: {"sentiment", "score"},
+    O.score_sentiment_matrix: {"sentiment", "score"},
+    O.community_controversy: {"subreddit_name", "sentiment", "score"},
+    O.community_comparison: {
+        "subreddit_name", "subreddit_nsfw", "created_utc", "sentiment", "score",
+    },
+}
+
+
+@pytest.mark.parametrize("report", NARROW, ids=lambda f: f.__name__)
+def test_narrow_reports_read_only_their_columns(stored_comments, report):
+    text = plan(report(stored_comments))
+    assert scanned_columns(text) == NARROW[report]
+    assert "partial_" in text
+
+
+def test_word_reports_read_text_and_sentiment_only(stored_comments):
+    assert scanned_columns(plan(O.top_words_by_sentiment(stored_comments))) == {"body", "sentiment"}
+    assert scanned_columns(plan(O.topic_vocabulary(stored_comments))) == {"body"}
+
+
+def test_extremes_push_conditions_and_keep_a_bounded_list(stored_comments):
+    text = plan(O.extreme_comments(stored_comments, limit=500, score_floor=150))
+    assert "TakeOrderedAndProject" in text
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    assert "GreaterThan(score,100)" in pushed
+    assert "LessThan(sentiment,-0.8)" in pushed
+    assert "GreaterThanOrEqual(score,150)" in pushed
+    assert not re.search(r"\bExchange\b", text)
+
+
+def test_ranks_are_cut_before_the_shuffle(stored_comments):
+    text = plan(O.top_words_by_sentiment(stored_comments, top_n=50))
+    assert text.count("WindowGroupLimit") >= 2
+    large = plan(O.top_words_by_sentiment(stored_comments, top_n=5000))
+    assert "shard" in large
+
+
+def test_one_task_window_runs_over_hours_only(stored_comments):
+    """The single partition comes after the aggregation to hours."""
+    text = plan(O.activity_anomalies(stored_comments))
+    assert text.index("SinglePartition") > text.index("partial_count")
+
+
+def test_merging_a_summary_needs_no_further_scan(stored_comments, tmp_path):
+    path = str(tmp_path / "hours")
+    hours = S.by_hour(stored_comments)
+    hours.write.parquet(path)
+    text = plan(O.daily_trend(stored_comments.sparkSession.read.parquet(path)))
+    assert scanned_columns(text) <= {"hour", "comment_count", "sentiment_sum", "sentiment_count"}
+
+
+def test_nothing_runs_in_python(stored_comments):
+    for report in [*NARROW, O.extreme_comments, O.top_words_by_sentiment, O.topic_vocabulary]:
+        text = plan(report(stored_comments))
+        assert "Python" not in text and "MapInPandas" not in text
+
+
+def test_fixture_joins_by_key_even_under_a_text_filter(spark, sf_dir):
+    text = plan(fixtures.comments(spark, sf_dir).where(F.col("body").rlike("the")))
+    assert "NestedLoop" not in text and "Cartesian" not in text
