@@ -60,16 +60,23 @@ OUTPUTS: dict[str, Output] = {
 }
 
 
+# Table and folder of the optional topics.
+TOPICS_TABLE = "temas_lda"
+TOPICS_FOLDER = "analytics/text/temas_lda"
+
 SUMMARIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "hours": S.by_hour,
     "communities": S.by_community,
 }
 
 
-def output_paths(base_path: str, run_name: str) -> dict[str, str]:
+def output_paths(base_path: str, run_name: str, *, topics: bool = False) -> dict[str, str]:
     """Where a run stores each result."""
+    folders = {table: out.folder for table, out in OUTPUTS.items()}
+    if topics:
+        folders[TOPICS_TABLE] = TOPICS_FOLDER
     base = base_path.rstrip("/")
-    return {table: f"{base}/{out.folder}/{run_name}" for table, out in OUTPUTS.items()}
+    return {table: f"{base}/{folder}/{run_name}" for table, folder in folders.items()}
 
 
 def run_reports(
@@ -79,16 +86,22 @@ def run_reports(
     *,
     fmt: str = "parquet",
     parallel_jobs: int = 4,
+    topics: Mapping[str, object] | None = None,
 ) -> dict[str, str]:
     """Compute and store every report; returns result table -> path.
 
+    `topics` holds the arguments of `lda_topics` (at least a seed) and adds the topics, which
+    hold arrays and so cannot be stored as CSV.
+
     Comments are scanned once per summary and once per report on single comments or texts.
     Summaries go to storage, so the seven reports on them read a small table that outlives any
     executor, and nothing is cached. Independent jobs run at the same time, so that the tail of
     one does not leave the cluster idle.
     """
+    if topics is not None and fmt == "csv":
+        raise ValueError("topics hold arrays, which CSV cannot store")
     spark = comments.sparkSession
-    paths = output_paths(base_path, run_name)
+    paths = output_paths(base_path, run_name, topics=topics is not None)
 
     def store_summary(name: str) -> DataFrame:
         """Write a summary and read it back by its known schema."""
@@ -100,6 +113,9 @@ def run_reports(
     def store(table: str, source: DataFrame) -> None:
         write_result(OUTPUTS[table].build(source), paths[table], fmt=fmt)
 
+    def store_topics() -> None:
+        write_result(O.lda_topics(comments, **topics), paths[TOPICS_TABLE], fmt=fmt)
+
     with ThreadPoolExecutor(parallel_jobs) as pool:
 
         def submit(job: Callable, *args):
@@ -111,6 +127,8 @@ def run_reports(
             for table, out in OUTPUTS.items()
             if out.source == "comments"
         ]
+        if topics is not None:
+            jobs.append(submit(store_topics))
         ready = {name: future.result() for name, future in summaries.items()}
         jobs += [
             submit(store, table, ready[out.source])
