@@ -20,6 +20,7 @@ from commentscope.plans.full_run import (  # noqa: E402
     run_reports,
     stored_results,
 )
+from commentscope.plans.summary import by_community, by_hour  # noqa: E402
 from commentscope.schemas import RAW_HEADER, conform, violations  # noqa: E402
 from commentscope.sinks import (  # noqa: E402
     clean_for_serving,
@@ -233,6 +234,15 @@ def queries() -> dict[str, Query]:
         "extreme_comments": _report(lambda c: O.extreme_comments(c, limit=500)),
         "community_controversy": _report(O.community_controversy),
         "community_comparison": _report(O.community_comparison),
+        "activity_anomalies_from_summary": _report(
+            lambda c: O.activity_anomalies(by_hour(c), threshold=2)
+        ),
+        "score_sentiment_matrix_from_summary": _report(
+            lambda c: O.score_sentiment_matrix(by_community(c))
+        ),
+        "community_comparison_from_summary": _report(
+            lambda c: O.community_comparison(by_community(c))
+        ),
         "top_words_by_sentiment": _report(lambda c: O.top_words_by_sentiment(c, top_n=50)),
         "word_count": _word_count,
         "cleaned_text": _report(_cleaned_text),

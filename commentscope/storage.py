@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.
 
-    Only where that is unset, as in local tests, a temporary folder takes its place.
+    Only a local session without that setting gets a temporary folder instead.
     """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="commentscope-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    if context.getCheckpointDir() is None:
+        if not configured and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="commentscope-"))
+    return configured or context.getCheckpointDir()
 
 
 def new_dir(spark: SparkSession, purpose: str) -> str:
