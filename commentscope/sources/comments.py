@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import COMMENTS, RAW_COMMENTS, RAW_HEADER
+from .records import csv_records
 
 # Doubled quotes stand for a quote; quoted fields may span lines.
 CSV_OPTIONS = {"escape": '"', "multiLine": "true"}
@@ -29,116 +30,22 @@ def read_comments_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.toDF(*COMMENTS.fieldNames())
 
 
-SPLIT = ["file", "start", "length"]
-
-
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with the split they start in and their position, which rises within a split."""
-    return (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.col("_metadata.file_block_length").alias("length"),
-            F.monotonically_increasing_id().alias("position"),
-            (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias(
-                "quotes"
-            ),
-            F.col("value").alias("line"),
-        )
-    )
-
-
-def _numbered(lines: DataFrame) -> DataFrame:
-    """Number of the record each line belongs to within its split, for both cases: the split
-    starts between records, or inside a quoted field. Number 0 continues an earlier split."""
-    in_split = Window.partitionBy(*SPLIT).orderBy("position")
-    so_far = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    quotes_before = F.sum("quotes").over(so_far) - F.col("quotes")
-    return lines.withColumn("odd", quotes_before % 2).select(
-        "*",
-        F.sum(1 - F.col("odd")).over(so_far).alias("record_if_closed"),
-        F.sum("odd").over(so_far).alias("record_if_open"),
-    )
-
-
-def _split_states(lines: DataFrame) -> DataFrame:
-    """A row per split: whether it starts inside a quoted field, and the last record begun in
-    the splits of the file before it."""
-    totals = (
-        _numbered(lines)
-        .groupBy(*SPLIT)
-        .agg(
-            F.sum("quotes").alias("quotes"),
-            F.max("record_if_closed").alias("records_if_closed"),
-            F.max("record_if_open").alias("records_if_open"),
-        )
-    )
-    earlier = (
-        Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    is_open = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2 == 1
-    records = F.when(F.col("is_open"), F.col("records_if_open")).otherwise(
-        F.col("records_if_closed")
-    )
-    last_begun = F.when(records > 0, F.struct("start", records.alias("record")))
-    return totals.withColumn("is_open", is_open).select(
-        *SPLIT,
-        "is_open",
-        F.last(last_begun, ignorenulls=True).over(earlier).alias("continued"),
-    )
-
-
-def _records(spark: SparkSession, path: str) -> DataFrame:
-    """A row per CSV record: file, start and record number, and text.
-
-    Quotes are balanced within a record, so a line begins one if the quotes before it in its
-    file are even in number. The lines meet once by split, to be numbered, and once by record,
-    to be joined; no group is larger than a split or a record.
-    """
-    states = _split_states(_lines(spark, path))
-    lines = _numbered(_lines(spark, path)).join(states, SPLIT, "left")
-    number = F.when(F.col("is_open"), F.col("record_if_open")).otherwise(F.col("record_if_closed"))
-    # Both scans must cut the files alike; a changed setting in between may not corrupt records.
-    checked = F.when(
-        F.col("is_open").isNull(), F.raise_error("the files were split differently in two scans")
-    ).otherwise(number)
-    owned = lines.withColumn("number", checked).select(
-        "file",
-        F.when(F.col("number") > 0, F.col("start")).otherwise(F.col("continued.start")).alias(
-            "record_start"
-        ),
-        F.when(F.col("number") > 0, F.col("number")).otherwise(F.col("continued.record")).alias(
-            "record"
-        ),
-        F.struct("start", "position", "line").alias("part"),
-    )
-    parts = F.array_sort(F.collect_list("part"))
-    return (
-        owned.groupBy("file", "record_start", "record")
-        .agg(F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("text"))
-        .withColumn("text", F.regexp_replace("text", r"\r\z", ""))
-    )
-
-
 def read_comments_csv_split(spark: SparkSession, path: str) -> DataFrame:
     """Like `read_comments_csv`, but a large file is read by many tasks.
 
     Needs uncompressed RFC 4180 files: quotes only around a field or doubled inside it.
     """
     header = ",".join(RAW_HEADER)
-    is_header = (F.col("record_start") == 0) & (F.col("record") == 1)
     header_fits = F.lower(F.regexp_replace("text", r'["\uFEFF]', "")) == header
     is_data = F.when(
-        is_header,
+        F.col("opens_file"),
         F.when(header_fits, False).otherwise(
-            F.raise_error(F.concat(F.lit("unexpected CSV header in "), "file")).cast("boolean")
+            F.raise_error(F.concat(F.lit("unexpected CSV header: "), "text")).cast("boolean")
         ),
     ).otherwise(F.col("text") != "")
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in COMMENTS)
     return (
-        _records(spark, path)
+        csv_records(spark, path)
         .where(is_data)
         .select(F.from_csv("text", columns, CSV_OPTIONS).alias("comment"))
         .select("comment.*")

@@ -1,0 +1,210 @@
+"""CSV records of files whose quoted fields hold line breaks, read in parallel splits.
+
+Quotes are balanced within a record, so a line begins one if the number of quotes before it in
+its file is even. A first scan counts the quotes of each split. Running totals over the splits of
+a file, a row each, tell whether a split starts inside a quoted field. A second scan then joins
+the lines of each split to records where they are, in Arrow batches. Only the pieces of records
+that cross the border of two splits are shuffled.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..storage import durable
+
+SPLIT = ["file", "start", "length"]
+
+# A split's state takes about 200 bytes, so this many states stay below 200 MB.
+MAX_BROADCAST_SPLITS = 1_000_000
+
+PIECES = (
+    "whole boolean, opens_file boolean, file string, start bigint, place int, begins boolean, "
+    "text string"
+)
+PIECES_ARROW = pa.schema(
+    [
+        ("whole", pa.bool_()),
+        ("opens_file", pa.bool_()),
+        ("file", pa.string()),
+        ("start", pa.int64()),
+        ("place", pa.int32()),
+        ("begins", pa.bool_()),
+        ("text", pa.string()),
+    ]
+)
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with the split they start in and their position, which rises within a split."""
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.col("_metadata.file_block_length").alias("length"),
+            F.monotonically_increasing_id().alias("position"),
+            (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias(
+                "quotes"
+            ),
+            F.col("value").alias("line"),
+        )
+    )
+
+
+def _split_states(lines: DataFrame) -> DataFrame:
+    """A row per split: whether it starts and ends inside a quoted field."""
+    so_far = (
+        Window.partitionBy("file")
+        .orderBy("start")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    quotes = lines.groupBy(*SPLIT).agg(F.sum("quotes").alias("quotes"))
+    total = quotes.withColumn("total", F.sum("quotes").over(so_far))
+    return total.select(
+        *SPLIT,
+        ((F.col("total") - F.col("quotes")) % 2 == 1).alias("starts_open"),
+        (F.col("total") % 2 == 1).alias("ends_open"),
+    )
+
+
+class _Split:
+    """Joins the lines of one split to records, batch by batch."""
+
+    def __init__(self, file: str, start: int, is_open: bool):
+        self.file, self.start = file, start
+        self.quotes = int(is_open)
+        self.opens_file = start == 0
+        self.begins = not is_open  # whether the record under way began in this split
+        self.pending: list[str] = []  # its lines so far
+        self.place = 0
+
+    def add(self, lines: pa.Array, quotes: np.ndarray) -> list[pa.RecordBatch]:
+        before = self.quotes + np.cumsum(quotes) - quotes
+        self.quotes += int(quotes.sum())
+        begun = np.flatnonzero(before % 2 == 0)
+        if len(begun) == 0:
+            self.pending += lines.to_pylist()
+            return []
+        first, last = int(begun[0]), int(begun[-1])
+        self.pending += lines.slice(0, first).to_pylist()
+        out = self.finish(whole=self.begins)
+        if first < last:
+            bounds = pa.array(begun - first, pa.int32())
+            grouped = pa.ListArray.from_arrays(bounds, lines.slice(first, last - first))
+            out.append(self.rows(pc.binary_join(grouped, "\n"), True, True))
+        self.begins, self.pending = True, lines.slice(last).to_pylist()
+        return out
+
+    def finish(self, *, whole: bool) -> list[pa.RecordBatch]:
+        """What is pending, as a whole record or as a piece of one."""
+        if not self.pending:
+            return []
+        text = pa.array(["\n".join(self.pending)], pa.string())
+        return [self.rows(text, whole, self.begins)]
+
+    def close(self) -> list[pa.RecordBatch]:
+        return self.finish(whole=self.begins and self.quotes % 2 == 0)
+
+    def rows(self, text: pa.Array, whole: bool, begins: bool) -> pa.RecordBatch:
+        n = len(text)
+        opens_file = np.zeros(n, bool)
+        if begins and self.opens_file:
+            opens_file[0], self.opens_file = True, False
+        self.place += 1
+        return pa.record_batch(
+            [
+                pa.array(np.full(n, whole)),
+                pa.array(opens_file),
+                pa.nulls(n, pa.string()) if whole else pa.array([self.file] * n, pa.string()),
+                pa.nulls(n, pa.int64()) if whole else pa.array([self.start] * n, pa.int64()),
+                pa.array(np.full(n, self.place, np.int32)),
+                pa.array(np.full(n, begins)),
+                text,
+            ],
+            schema=PIECES_ARROW,
+        )
+
+
+def _join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records, whole or in pieces, from the lines of one task; splits follow one another."""
+    split = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        file, start = batch.column("file"), batch.column("start")
+        quotes = batch.column("quotes").to_numpy(zero_copy_only=False).astype(np.int64)
+        changed = pc.or_(
+            pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)),
+            pc.not_equal(start.slice(1), start.slice(0, len(start) - 1)),
+        )
+        cuts = np.flatnonzero(changed.to_numpy(zero_copy_only=False)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            here = (file[a].as_py(), start[a].as_py())
+            if split is None or here != (split.file, split.start):
+                if split is not None:
+                    yield from split.close()
+                split = _Split(*here, batch.column("starts_open")[a].as_py())
+            yield from split.add(batch.column("line").slice(a, b - a), quotes[a:b])
+    if split is not None:
+        yield from split.close()
+
+
+def _pieces(lines: DataFrame, states: DataFrame, few_splits: bool) -> DataFrame:
+    """Records and pieces of records. A task gets whole splits, each in the order of its lines."""
+    # Both scans must cut the files alike; a changed setting in between may not corrupt records.
+    checked = F.coalesce(
+        F.col("starts_open"),
+        F.raise_error("the files were split differently in two scans").cast("boolean"),
+    )
+    if few_splits:
+        # The scan's own order stays.
+        known = lines.join(F.broadcast(states), SPLIT, "left")
+    else:
+        known = lines.join(states, SPLIT, "left").sortWithinPartitions("file", "start", "position")
+    return known.select(
+        "file", "start", checked.alias("starts_open"), "quotes", "line"
+    ).mapInArrow(_join_lines, PIECES)
+
+
+def _without_line_end(records: DataFrame) -> DataFrame:
+    """Records without the carriage return of a two-character line end."""
+    return records.withColumn("text", F.regexp_replace("text", r"\r\z", ""))
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """Text of each CSV record, and whether it is the first of its file. Runs the first scan."""
+    states = durable(_split_states(_lines(spark, path)))
+    crosses = F.col("starts_open") | F.col("ends_open")
+    splits, crossed = states.agg(F.count("*"), F.count_if(crosses)).first()
+    few_splits = splits <= MAX_BROADCAST_SPLITS
+    whole = (
+        _pieces(_lines(spark, path), states, few_splits).where("whole").select("text", "opens_file")
+    )
+    if not crossed:
+        return _without_line_end(whole)
+
+    # Pieces lie in splits that start or end inside a record.
+    at_border = states.where(crosses)
+    border_lines = _lines(spark, path).join(
+        F.broadcast(at_border) if few_splits else at_border, SPLIT, "left_semi"
+    )
+    pieces = _pieces(border_lines, at_border, few_splits).where("NOT whole")
+    in_file = Window.partitionBy("file").orderBy("start", "place")
+    parts = F.array_sort(F.collect_list(F.struct("start", "place", "text")))
+    joined = (
+        pieces.withColumn("record", F.count_if("begins").over(in_file))
+        .groupBy("file", "record")
+        .agg(
+            F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("text"),
+            F.bool_or("opens_file").alias("opens_file"),
+        )
+    )
+    return _without_line_end(whole.unionByName(joined.select("text", "opens_file")))

@@ -85,6 +85,14 @@ def test_split_reader_equals_whole_file_reader(spark, tmp_path, split_bytes, end
         spark.conf.set(key, before)
 
 
+def test_split_reader_without_broadcast(spark, tmp_path, monkeypatch):
+    """Beyond the bound of the broadcast, the lines are shuffled by split and sorted."""
+    from commentscope.sources import records
+
+    monkeypatch.setattr(records, "MAX_BROADCAST_SPLITS", 0)
+    test_split_reader_equals_whole_file_reader(spark, tmp_path, 40, "\n")
+
+
 def test_field_longer_than_several_splits(spark, tmp_path):
     body = "\n".join("x" * 7 for _ in range(50))
     path = write_csv(
