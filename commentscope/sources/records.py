@@ -51,9 +51,9 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("start"),
             F.col("_metadata.file_block_length").alias("length"),
             F.monotonically_increasing_id().alias("position"),
-            (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias(
-                "quotes"
-            ),
+            (
+                F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+            ).alias("quotes"),
             F.col("value").alias("line"),
         )
     )
@@ -176,7 +176,9 @@ def _pieces(lines: DataFrame, states: DataFrame, few_splits: bool) -> DataFrame:
 
 def _without_line_end(records: DataFrame) -> DataFrame:
     """Records without the carriage return of a two-character line end."""
-    return records.withColumn("text", F.regexp_replace("text", r"\r\z", ""))
+    text = F.col("text")
+    shorter = F.substring(text, F.lit(1), F.length(text) - 1)
+    return records.withColumn("text", F.when(text.endswith("\r"), shorter).otherwise(text))
 
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
