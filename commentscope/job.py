@@ -13,9 +13,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from commentscope import schemas
-from commentscope.plans.full_run import register_result_views, run_reports, stored_results
+from commentscope.plans.full_run import publish_run, register_result_views, run_reports
 from commentscope.session import create_session
-from commentscope.sinks import jdbc_writer, publish_results, table_writer
+from commentscope.sinks import jdbc_writer, table_writer
 from commentscope.sources import land_raw
 
 
@@ -55,7 +55,7 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     else:
         return None
     modes = {table: "append" for table in args.append}
-    return publish_results(spark, stored_results(spark, paths, args.format), write, modes=modes)
+    return publish_run(spark, write, paths=paths, fmt=args.format, modes=modes)
 
 
 def main() -> None:

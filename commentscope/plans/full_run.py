@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import operators as O
-from ..sinks.files import write_result
+from ..sinks import Writer, publish_results, write_result
 from ..sources.results import read_result
 from . import summary as S
 
@@ -151,6 +151,24 @@ def stored_results(
     return {table: reader(table, path) for table, path in paths.items()}
 
 
+def publish_run(
+    spark: SparkSession,
+    write: Writer,
+    *,
+    paths: Mapping[str, str] | None = None,
+    base_path: str = "",
+    run_name: str = "comments",
+    fmt: str = "parquet",
+    modes: Mapping[str, str] | None = None,
+    reject_violations: bool = False,
+) -> DataFrame:
+    """Publish a run's stored results, from `paths` or from where the named run put them."""
+    results = stored_results(spark, paths or output_paths(base_path, run_name), fmt)
+    return publish_results(
+        spark, results, write, modes=modes, reject_violations=reject_violations
+    )
+
+
 def register_result_views(
     spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet"
 ) -> list[str]:

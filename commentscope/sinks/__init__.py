@@ -2,6 +2,7 @@
 
 from .files import write_result
 from .tables import (
+    Writer,
     clean_for_serving,
     jdbc_writer,
     publish_results,
@@ -11,6 +12,7 @@ from .tables import (
 )
 
 __all__ = [
+    "Writer",
     "clean_for_serving",
     "jdbc_writer",
     "publish_results",

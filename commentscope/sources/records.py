@@ -9,16 +9,21 @@ that cross the border of two splits are shuffled.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..storage import durable
 
+# Tasks get this module's code with the plan, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SPLIT = ["file", "start", "length"]
 
 # A split's state takes about 200 bytes, so this many states stay below 200 MB.

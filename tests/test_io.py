@@ -1,6 +1,9 @@
 import random
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from commentscope import operators as O
@@ -93,6 +96,20 @@ def test_split_reader_without_broadcast(spark, tmp_path, monkeypatch):
     test_split_reader_equals_whole_file_reader(spark, tmp_path, 40, "\n")
 
 
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    from commentscope.sources import records
+
+    code = "import pickle, sys; print(list(pickle.load(sys.stdin.buffer)(iter([]))))"
+    out = subprocess.run(
+        [sys.executable, "-c", code],
+        input=cloudpickle.dumps(records._join_lines),
+        cwd=tmp_path,
+        capture_output=True,
+        check=True,
+    )
+    assert out.stdout.strip() == b"[]"
+
+
 def test_field_longer_than_several_splits(spark, tmp_path):
     body = "\n".join("x" * 7 for _ in range(50))
     path = write_csv(

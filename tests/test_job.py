@@ -6,8 +6,9 @@ import pytest
 
 from commentscope import schemas
 from commentscope.job import arguments, run_job
-from commentscope.plans.full_run import run_reports
-from commentscope.sinks import write_result
+from commentscope.plans.full_run import publish_run, run_reports
+from commentscope.session import create_session
+from commentscope.sinks import table_writer, write_result
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
@@ -31,6 +32,22 @@ def test_job(spark, fixture_comments, tmp_path, fmt):
     assert spark.table(f"{database}.patrones_horarios").count() == counts["patrones_horarios"]
 
 
+def test_publishing_a_named_run(spark, tmp_path):
+    """Without paths, results are looked for where the named run stores them."""
+    status = publish_run(spark, table_writer(), base_path=f"{tmp_path}/empty", run_name="r").collect()
+    assert {r["status"] for r in status} == {"failed"}
+    assert all(f"{tmp_path}/empty" in r["error"] for r in status)
+
+
+def test_session_settings(spark):
+    session = create_session(extra={"spark.sql.shuffle.partitions": "8"}, s3a_endpoint="http://s:1")
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert session.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert session.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert session.conf.get("spark.hadoop.fs.s3a.path.style.access") == "true"
+    assert session.conf.get("spark.hadoop.fs.s3a.connection.ssl.enabled") == "false"
+
+
 def test_topics_join_the_run(spark, stored_comments, tmp_path):
     topics = {"seed": 3, "min_documents": 0.05, "max_iter": 2}
     with pytest.raises(ValueError, match="CSV"):
