@@ -119,7 +119,7 @@ def _csv_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = land_raw(spark, _raw_csv(spark, sf_dir), new_dir(spark, "bronze"), split_above=0)
+    landed = land_raw(spark, _raw_csv(spark, sf_dir), new_dir(spark, "bronze"), split=True)
     return (
         landed.groupBy(F.to_date(F.timestamp_seconds("created_utc")).alias("day"))
         .agg(

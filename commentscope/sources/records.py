@@ -29,16 +29,12 @@ SPLIT = ["file", "start", "length"]
 # A split's state takes about 200 bytes, so this many states stay below 200 MB.
 MAX_BROADCAST_SPLITS = 1_000_000
 
-PIECES = (
-    "whole boolean, opens_file boolean, file string, start bigint, place int, begins boolean, "
-    "text string"
-)
+PIECES = "whole boolean, opens_file boolean, split bigint, place int, begins boolean, text string"
 PIECES_ARROW = pa.schema(
     [
         ("whole", pa.bool_()),
         ("opens_file", pa.bool_()),
-        ("file", pa.string()),
-        ("start", pa.int64()),
+        ("split", pa.int64()),
         ("place", pa.int32()),
         ("begins", pa.bool_()),
         ("text", pa.string()),
@@ -65,7 +61,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _split_states(lines: DataFrame) -> DataFrame:
-    """A row per split: whether it starts and ends inside a quoted field."""
+    """A row per split: a number, and whether it starts and ends inside a quoted field."""
     so_far = (
         Window.partitionBy("file")
         .orderBy("start")
@@ -75,6 +71,7 @@ def _split_states(lines: DataFrame) -> DataFrame:
     total = quotes.withColumn("total", F.sum("quotes").over(so_far))
     return total.select(
         *SPLIT,
+        F.monotonically_increasing_id().alias("split"),
         ((F.col("total") - F.col("quotes")) % 2 == 1).alias("starts_open"),
         (F.col("total") % 2 == 1).alias("ends_open"),
     )
@@ -83,10 +80,9 @@ def _split_states(lines: DataFrame) -> DataFrame:
 class _Split:
     """Joins the lines of one split to records, batch by batch."""
 
-    def __init__(self, file: str, start: int, is_open: bool):
-        self.file, self.start = file, start
+    def __init__(self, split: int, opens_file: bool, is_open: bool):
+        self.split, self.opens_file = split, opens_file
         self.quotes = int(is_open)
-        self.opens_file = start == 0
         self.begins = not is_open  # whether the record under way began in this split
         self.pending: list[str] = []  # its lines so far
         self.place = 0
@@ -128,8 +124,7 @@ class _Split:
             [
                 pa.array(np.full(n, whole)),
                 pa.array(opens_file),
-                pa.nulls(n, pa.string()) if whole else pa.array([self.file] * n, pa.string()),
-                pa.nulls(n, pa.int64()) if whole else pa.array([self.start] * n, pa.int64()),
+                pa.array(np.full(n, self.split)),
                 pa.array(np.full(n, self.place, np.int32)),
                 pa.array(np.full(n, begins)),
                 text,
@@ -144,19 +139,15 @@ def _join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        file, start = batch.column("file"), batch.column("start")
-        quotes = batch.column("quotes").to_numpy(zero_copy_only=False).astype(np.int64)
-        changed = pc.or_(
-            pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)),
-            pc.not_equal(start.slice(1), start.slice(0, len(start) - 1)),
-        )
-        cuts = np.flatnonzero(changed.to_numpy(zero_copy_only=False)) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-            here = (file[a].as_py(), start[a].as_py())
-            if split is None or here != (split.file, split.start):
+        splits = batch.column("split").to_numpy()
+        quotes = batch.column("quotes").to_numpy().astype(np.int64)
+        cuts = (np.flatnonzero(np.diff(splits)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if split is None or splits[a] != split.split:
                 if split is not None:
                     yield from split.close()
-                split = _Split(*here, batch.column("starts_open")[a].as_py())
+                opens_file = batch.column("start")[a].as_py() == 0
+                split = _Split(int(splits[a]), opens_file, batch.column("starts_open")[a].as_py())
             yield from split.add(batch.column("line").slice(a, b - a), quotes[a:b])
     if split is not None:
         yield from split.close()
@@ -166,8 +157,7 @@ def _pieces(lines: DataFrame, states: DataFrame, few_splits: bool) -> DataFrame:
     """Records and pieces of records. A task gets whole splits, each in the order of its lines."""
     # Both scans must cut the files alike; a changed setting in between may not corrupt records.
     checked = F.coalesce(
-        F.col("starts_open"),
-        F.raise_error("the files were split differently in two scans").cast("boolean"),
+        "split", F.raise_error("the files were split differently in two scans").cast("bigint")
     )
     if few_splits:
         # The scan's own order stays.
@@ -175,7 +165,7 @@ def _pieces(lines: DataFrame, states: DataFrame, few_splits: bool) -> DataFrame:
     else:
         known = lines.join(states, SPLIT, "left").sortWithinPartitions("file", "start", "position")
     return known.select(
-        "file", "start", checked.alias("starts_open"), "quotes", "line"
+        checked.alias("split"), "start", "starts_open", "quotes", "line"
     ).mapInArrow(_join_lines, PIECES)
 
 
@@ -203,7 +193,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     border_lines = _lines(spark, path).join(
         F.broadcast(at_border) if few_splits else at_border, SPLIT, "left_semi"
     )
-    pieces = _pieces(border_lines, at_border, few_splits).where("NOT whole")
+    pieces = _pieces(border_lines, at_border, few_splits).where("NOT whole").join(states, "split")
     in_file = Window.partitionBy("file").orderBy("start", "place")
     parts = F.array_sort(F.collect_list(F.struct("start", "place", "text")))
     joined = (

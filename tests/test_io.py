@@ -21,6 +21,7 @@ from commentscope.sources import (
     read_comments_csv_split,
     read_result,
 )
+from commentscope.sources.comments import pays_to_split
 
 HEADER = ",".join(schemas.RAW_HEADER)
 READERS = [read_comments_csv, read_comments_csv_split]
@@ -125,11 +126,19 @@ def test_field_longer_than_several_splits(spark, tmp_path):
     assert [(r["id"], r["body"], r["score"]) for r in rows] == [("a", body, 1), ("b", body, 2)]
 
 
-@pytest.mark.parametrize("split_above", [0, 1 << 30])
-def test_landing(spark, fixture_comments, tmp_path, split_above):
+def test_splitting_must_pay():
+    gib = 1 << 30
+    assert pays_to_split(largest=12 * gib, total=12 * gib, cores=400)
+    assert not pays_to_split(largest=12 * gib, total=12 * gib, cores=8)
+    assert not pays_to_split(largest=12 * gib, total=12_000 * gib, cores=4000)
+    assert not pays_to_split(largest=gib // 2, total=gib // 2, cores=400)
+
+
+@pytest.mark.parametrize("split", [True, False, None])
+def test_landing(spark, fixture_comments, tmp_path, split):
     raw = str(tmp_path / "raw")
     write_result(fixture_comments.toDF(*schemas.RAW_HEADER), raw, fmt="csv")
-    landed = land_raw(spark, raw, str(tmp_path / "bronze"), split_above=split_above)
+    landed = land_raw(spark, raw, str(tmp_path / "bronze"), split=split)
     assert landed.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.COMMENTS]
     assert rows_of(landed) == rows_of(fixture_comments)
 
