@@ -37,6 +37,20 @@ from commentscope.sources import (  # noqa: E402
 from commentscope.storage import new_dir  # noqa: E402
 from oracles import CONTROL_TOTALS, ORACLES  # noqa: E402
 
+# The training-data operators are a subpackage of their own, which the rest works without.
+try:
+    import corpus_pipeline
+    from commentscope.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "commentscope.llm"):
+        raise
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES = {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    LLM_ORACLES = dict(llm_queries.ORACLES)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -262,9 +276,10 @@ def queries() -> dict[str, Query]:
         "published_results": _published_results,
         "result_views": _result_views,
         "full_run_outputs": _full_run_outputs,
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL for every query but the topics, whose fit is iterative."""
-    return dict(ORACLES)
+    """SQL for every query that SQL can express."""
+    return {**ORACLES, **LLM_ORACLES}
