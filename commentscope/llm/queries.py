@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-from . import language, packing, quality, secrets, url_filter
+from . import (
+    decontaminate,
+    language,
+    line_templates,
+    packing,
+    pii,
+    quality,
+    secrets,
+    url_filter,
+)
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
     "op2_packing": packing.op2_packing,
     "op3_quality_rules": quality.op3_quality_rules,
+    "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_language_id": language.op6_language_id,
     "op7_secret_scans": secrets.op7_secret_scans,
+    "op9_line_dedup": line_templates.op9_line_dedup,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLES = {
     "op1_url_filters": url_filter.SQL,
     "op3_quality_rules": quality.SQL,
+    "op9_line_dedup": line_templates.SQL,
 }
