@@ -9,12 +9,15 @@ hold is recurring, and its lines are dropped.
 Documents with the same text count once. A document that recurring lines make up for the most
 part is a copy, not a carrier of boilerplate: it stays whole, for near-duplicate removal.
 
-All steps are DataFrame functions. Shuffled rows hold hashes of lines; texts of lines are only
-read for leaves that enough documents reach.
+All steps are DataFrame functions. The lines are stored once, so each text is taken apart once.
+Shuffled rows hold hashes of lines; only lines of leaves that enough documents reach are shuffled
+as text.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,14 +33,18 @@ MAX_LOSS = 0.5
 MAX_BROADCAST_BYTES = 32 << 20
 
 
-def masked(line: Column) -> Column:
-    """A line with single spaces between tokens and `<*>` for tokens with a digit."""
-    spaced = F.when(
-        line.rlike(r"[\x09-\x0D]|  |^ | $"),
-        F.btrim(F.regexp_replace(line, f"[{SPACES}]+", " "), F.lit(" ")),
-    ).otherwise(line)
+def masked(text: Column) -> Column:
+    """A text whose lines have single spaces between tokens and `<*>` for tokens with a digit.
+
+    Works on whole texts: most need neither step, which a few byte searches tell.
+    """
+    irregular = [text.contains(c) for c in ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")]
+    irregular += [text.startswith(" "), text.endswith(" ")]
+    spaced = F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " ")
+    spaced = F.btrim(F.regexp_replace(spaced, " ?\n ?", "\n"), F.lit(" "))
+    spaced = F.when(reduce(Column.__or__, irregular), spaced).otherwise(text)
     return F.when(
-        spaced.rlike("[0-9]"), F.regexp_replace(spaced, "[^ ]*[0-9][^ ]*", "<*>")
+        spaced.rlike("[0-9]"), F.regexp_replace(spaced, "[^ \n]*[0-9][^ \n]*", "<*>")
     ).otherwise(spaced)
 
 
@@ -46,39 +53,44 @@ def tokens_in(line: Column) -> Column:
     return F.when(line == "", 0).otherwise(gaps + 1).cast("long")
 
 
-def _lines(documents: DataFrame, text: str) -> DataFrame:
-    """`doc` (hash of the text), `at`, `masked`, `tokens` of each line."""
+def line_table(
+    documents: DataFrame,
+    *,
+    text: str = "text",
+    min_tokens: int = MIN_TOKENS,
+    depth: int = DEPTH,
+) -> DataFrame:
+    """`doc` (hash of the text), `at`, `masked`, `tokens`, `leaf` and `line` (hash of the masked
+    line) of each line with enough tokens."""
+    tokens = tokens_in(F.col("masked")).alias("tokens")
     return (
         documents.where(F.col(text).isNotNull())
-        .select(F.xxhash64(text).alias("doc"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-        .select("doc", "at", masked(F.col("line")).alias("masked"))
-        .select("doc", "at", "masked", tokens_in(F.col("masked")).alias("tokens"))
+        # Hashed and masked before the lines part: once per text, not once per line.
+        .select(F.xxhash64(text).alias("doc"), F.split(masked(F.col(text)), "\n").alias("lines"))
+        # The outer form: for the plain one the optimizer would add a filter on the size of the
+        # list, and compute it twice.
+        .select("doc", F.posexplode_outer("lines").alias("at", "masked"))
+        .select("doc", "at", "masked", tokens)
+        .where(F.col("tokens") >= min_tokens)
+        .select(
+            "*",
+            F.xxhash64("tokens", F.substring_index("masked", " ", depth)).alias("leaf"),
+            F.xxhash64("masked").alias("line"),
+        )
     )
 
 
-def _leaf(depth: int) -> Column:
-    return F.xxhash64("tokens", F.substring_index("masked", " ", depth))
-
-
 def _bounded(df: DataFrame) -> DataFrame:
     """`df`, a stored table of one hash a row, marked for broadcast if it is small enough."""
     return F.broadcast(df) if df.count() * 8 <= MAX_BROADCAST_BYTES else df
 
 
 def recurring_lines(
-    documents: DataFrame,
-    *,
-    text: str = "text",
-    min_documents: int = MIN_DOCUMENTS,
-    min_tokens: int = MIN_TOKENS,
-    depth: int = DEPTH,
-    similarity: float = SIMILARITY,
+    lines: DataFrame, *, min_documents: int = MIN_DOCUMENTS, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """`line`, the hash of each masked line that is to be dropped."""
-    long = _lines(documents, text).where(F.col("tokens") >= min_tokens)
-    keyed = long.select("doc", "masked", "tokens", _leaf(depth).alias("leaf"))
+    """`line`, the hash of each masked line that is to be dropped, from a stored `line_table`."""
     reached = (
-        keyed.select("leaf", "doc")
+        lines.select("leaf", "doc")
         .distinct()
         .groupBy("leaf")
         .agg(F.count("*").alias("n"))
@@ -86,7 +98,7 @@ def recurring_lines(
         .select("leaf")
     )
     reached = _bounded(stored(reached, "leaves"))
-    held = keyed.join(reached, "leaf").select("leaf", "masked", "tokens", "doc").distinct()
+    held = lines.join(reached, "leaf").select("leaf", "masked", "tokens", "doc").distinct()
     held = stored(held, "leaf-lines")
     counted = held.groupBy("leaf", "masked", "tokens").agg(F.count("*").alias("n"))
     model = counted.groupBy("leaf").agg(
@@ -129,8 +141,10 @@ def drop_recurring_lines(
     *,
     text: str = "text",
     max_loss: float = MAX_LOSS,
+    min_documents: int = MIN_DOCUMENTS,
     min_tokens: int = MIN_TOKENS,
-    **options,
+    depth: int = DEPTH,
+    similarity: float = SIMILARITY,
 ) -> DataFrame:
     """`documents` with recurring lines taken out of `text`, and `n_lines`, `n_dropped`.
 
@@ -138,13 +152,9 @@ def drop_recurring_lines(
     the share `max_loss` of its tokens stays whole. Null texts stay null and have no lines; an
     empty text has one, which stays. Repeated rows are kept, and count as one document.
     """
+    lines = stored(line_table(documents, text=text, min_tokens=min_tokens, depth=depth), "lines")
     doomed = stored(
-        recurring_lines(documents, text=text, min_tokens=min_tokens, **options), "recurring"
-    )
-    lines = (
-        _lines(documents, text)
-        .where(F.col("tokens") >= min_tokens)
-        .select("doc", "at", "tokens", F.xxhash64("masked").alias("line"))
+        recurring_lines(lines, min_documents=min_documents, similarity=similarity), "recurring"
     )
     dropped = (
         lines.join(_bounded(doomed), "line")

@@ -48,69 +48,132 @@ STOP_WORDS = [
 ]
 
 
+# Each form of a stop word that a text may hold: lower case, capitalised, all upper case.
+STOP_FORMS = sorted({f for w in STOP_WORDS for f in (w, w.capitalize(), w.upper())})
+
+
+def single_spaced(text: Column) -> Column:
+    """The words of a text with one space between them."""
+    flat = F.replace(text, F.lit("\n"), F.lit(" "))
+    irregular = [flat.contains(c) for c in ("  ", "\t", "\r", "\x0b", "\x0c")]
+    irregular += [flat.startswith(" "), flat.endswith(" ")]
+    return F.when(
+        reduce(Column.__or__, irregular),
+        F.btrim(F.regexp_replace(text, f"[{SPACES}]+", " "), F.lit(" ")),
+    ).otherwise(flat)
+
+
 def measures(texts: DataFrame, text: str = "text") -> DataFrame:
     """`texts` with the measures of the rules as long columns, in a few narrow projections."""
-    clean = F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), f"[{SPACES}]+", " "), F.lit(" "))
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(f"[^{SPACES}]"))
-    symbols = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^#*$%&|<>]+", "")
-    stop = "|".join(STOP_WORDS)
-    with_text = texts.select(
+    whole = F.coalesce(text, F.lit(""))
+    lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(f"[^{SPACES}]"))
+    symbols = F.regexp_replace(whole, r"[^#*$%&|<>]+", "")
+    split = texts.select(
         "*",
-        clean.alias("_clean"),
+        F.filter(F.split(single_spaced(whole), " "), lambda w: w != "").alias("_words"),
         lines.alias("_lines"),
         F.length(symbols).cast("long").alias("n_symbols"),
     )
-    # Runs of three words, at each word: the look-ahead finds them without consuming.
-    window = "(?<![^ ])(?=([^ ]+ [^ ]+ [^ ]+)(?![^ ]))"
-    joined = F.length(F.replace(F.col("_clean"), F.lit(" "), F.lit("")))
-    with_words = with_text.select(
+    counted = split.select(
         "*",
-        F.when(F.col("_clean") == "", 0)
-        .otherwise(F.length("_clean") - joined + 1)
-        .cast("long")
-        .alias("n_words"),
-        joined.cast("long").alias("word_chars"),
+        F.size("_words").cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.size(F.filter("_words", lambda w: w.isin(STOP_FORMS))).cast("long").alias("n_stop_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.regexp_count("_clean", F.lit(rf"(?i)(?<![^ ])(?:{stop})(?![^ ])"))
-        .cast("long")
-        .alias("n_stop_words"),
-        F.regexp_extract_all("_clean", F.lit(window), 1).alias("_runs"),
+        F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"),
+    )
+    return (
+        _repeated(counted).drop("_words", "_lines", "_hashes").withColumn("one", F.lit(1))
     )
-    return _repeated(with_words).drop("_clean", "_lines", "_runs").withColumn("one", F.lit(1))
+
+
+# Bits of a number that hold a run's place; the others hold a part of its hash.
+PLACE_BITS = 20
 
 
 def _repeated(texts: DataFrame) -> DataFrame:
-    """`n_repeat_words`: words covered by runs that the text holds twice or more.
+    """`n_repeat_words`: words covered by runs of three that the text holds twice or more.
 
-    Most texts repeat nothing, which the number of distinct runs tells. In the others, runs are
-    sorted with their places; neighbours that are equal give the places of repeated runs, and each
-    place covers three words.
+    Most texts repeat nothing, which the number of distinct hashes of runs tells. In the others,
+    numbers of hash bits and place are sorted; neighbours with the same hash bits are the same
+    run, which their words confirm. Where they are not, or places do not fit, the runs themselves
+    are sorted.
     """
-    ordered = F.sort_array(
-        F.transform("_runs", lambda run, i: F.struct(F.xxhash64(run).alias("h"), run.alias("run"), i.alias("at")))
-    )
+    places = (1 << PLACE_BITS) - 1
+
+    def run_hash(h: Column, i: Column) -> Column:
+        return F.xxhash64(h, F.get(F.col("_hashes"), i + 1), F.get(F.col("_hashes"), i + 2))
+
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(places)).cast("int")
+
+    def alike(x: Column, other: Column) -> Column:
+        return F.coalesce(
+            F.shiftright(x, PLACE_BITS) == F.shiftright(other, PLACE_BITS), F.lit(False)
+        )
 
-    def repeated(x: Column, i: Column) -> Column:
+    def after(array: str, i: Column) -> Column:
+        return F.get(F.col(array), i + 1)
+
+    def before(array: str, i: Column) -> Column:
+        return F.when(i > 0, F.get(F.col(array), i - 1))
+
+    def differ(x: Column, other: Column) -> Column:
+        word = [
+            F.get(F.col("_words"), place(x) + k) != F.get(F.col("_words"), place(other) + k)
+            for k in range(3)
+        ]
+        return reduce(Column.__or__, word)
+
+    def repeats(x: Column, i: Column) -> Column:
+        return alike(x, after("_packed", i)) | alike(x, before("_packed", i))
+
+    def misled(x: Column, i: Column) -> Column:
+        return alike(x, after("_packed", i)) & differ(x, after("_packed", i))
+
+    def run(h: Column, i: Column) -> Column:
+        return F.struct(F.concat_ws(" ", F.slice(F.col("_words"), i + 1, 3)).alias("run"), i.alias("at"))
+
+    def run_repeats(x: Column, i: Column) -> Column:
         def same(other: Column) -> Column:
-            return F.coalesce((other["h"] == x["h"]) & (other["run"] == x["run"]), F.lit(False))
+            return F.coalesce(other["run"] == x["run"], F.lit(False))
 
-        ahead = F.get(F.col("_ordered"), i + 1)
-        behind = F.when(i > 0, F.get(F.col("_ordered"), i - 1))
-        return same(ahead) | same(behind)
+        return same(after("_ordered", i)) | same(before("_ordered", i))
 
-    some = texts.withColumn(
+    runs = F.when(
+        F.size("_hashes") > 2,
+        F.transform(F.slice("_hashes", F.lit(1), F.size("_hashes") - 2), run_hash),
+    )
+    packed = F.transform(
+        "_runs", lambda h, i: h.bitwiseAND(F.lit(~places)).bitwiseOR(i.cast("long"))
+    )
+    some = texts.withColumn("_runs", runs).withColumn(
+        "_packed",
+        F.when(
+            F.size(F.array_distinct("_runs")) < F.size("_runs"),
+            F.when(F.size("_runs") <= places, F.sort_array(packed)).otherwise(F.array()),
+        ),
+    )
+    confirmed = some.withColumn(
         "_ordered",
-        F.when(F.size(F.array_distinct("_runs")) < F.size("_runs"), ordered),
-    ).withColumn(
-        "_at", F.transform(F.filter("_ordered", repeated), lambda x: x["at"])
+        F.when(
+            (F.size("_packed") == 0) | F.exists(F.filter("_packed", misled), lambda x: F.lit(True)),
+            F.sort_array(F.transform("_runs", run)),
+        ),
+    )
+    at = confirmed.withColumn(
+        "_at",
+        F.when(
+            F.col("_ordered").isNull(), F.transform(F.filter("_packed", repeats), place)
+        ).otherwise(F.transform(F.filter("_ordered", run_repeats), lambda x: x["at"])),
     )
     covered = F.array_distinct(
         F.flatten(F.transform("_at", lambda at: F.array(at, at + 1, at + 2)))
     )
-    return some.withColumn(
+    return at.withColumn(
         "n_repeat_words", F.coalesce(F.size(covered), F.lit(0)).cast("long")
-    ).drop("_ordered", "_at")
+    ).drop("_runs", "_packed", "_ordered", "_at")
 
 
 def compile_rules(thresholds: list[Threshold]) -> Column:
@@ -163,7 +226,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
 
 
-_STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_STOPS = ", ".join(f"'{w}'" for w in STOP_FORMS)
 
 SQL = f"""
 WITH texts AS (
@@ -187,8 +250,7 @@ WITH texts AS (
          CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
-         CAST(len(list_filter(words, lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-              'abcdefghijklmnopqrstuvwxyz') IN ({_STOPS}))) AS BIGINT) AS n_stop_words,
+         CAST(len(list_filter(words, lambda w: w IN ({_STOPS}))) AS BIGINT) AS n_stop_words,
          CAST(len(lines) AS BIGINT) AS n_lines
   FROM split LEFT JOIN covered USING (r)
 ), judged AS (
