@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (
     decontaminate,
+    jaccard,
     language,
     line_templates,
     packing,
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
     "op2_packing": packing.op2_packing,
     "op3_quality_rules": quality.op3_quality_rules,
+    "op4_ngram_jaccard_join": jaccard.op4_ngram_jaccard_join,
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_language_id": language.op6_language_id,
     "op7_secret_scans": secrets.op7_secret_scans,
