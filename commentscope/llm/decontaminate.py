@@ -171,7 +171,8 @@ def mark_leaks(
     (item, item_words, covered, tiles).
 
     Items with a null text or fewer than `min_match` words never leak; null and empty texts hold
-    no leaks. Repeated items count one by one, repeated documents each on their own.
+    no leaks. Repeated items count one by one, repeated documents each on their own. A kept column
+    `leaks` is replaced.
     """
     items = benchmark.where(F.col(item_text).isNotNull()).select(
         F.col(item_key).alias("id"), F.col(item_text).alias("text")
@@ -180,8 +181,11 @@ def mark_leaks(
     blocks = -(-size // block_bytes)
     id_type = dict(items.dtypes)["id"]
     leak = f"array<struct<item: {id_type}, item_words: bigint, covered: bigint, tiles: bigint>>"
+    # What is kept travels as one column, so that no name meets another.
     marked = documents.select(
-        *keep, F.col(text).alias("_text"), F.array().cast(leak).alias("leaks")
+        F.struct(*keep).alias("kept"),
+        F.col(text).alias("text"),
+        F.array().cast(leak).alias("leaks"),
     )
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
@@ -190,15 +194,17 @@ def mark_leaks(
             marked, Seeds([r["id"] for r in rows], [r["text"] for r in rows], min_match),
             min_match, coverage,
         )
-    return marked.drop("_text")
+    return marked.select(
+        *[F.col("kept")[name].alias(name) for name in keep if name != "leaks"], "leaks"
+    )
 
 
 def _mark_block(documents: DataFrame, seeds: Seeds, min_match: int, coverage: float) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(seeds)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "_text"):
-            words = Words(batch.column("_text"))
+        for batch in steps(batches, "text"):
+            words = Words(batch.column("text"))
             hashes, first = words.shingles(min_match)
             at, seed = shared.value.hits(hashes)
             column = batch.schema.get_field_index("leaks")

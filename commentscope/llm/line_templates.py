@@ -150,7 +150,8 @@ def drop_recurring_lines(
 
     A text keeps its other lines as they are, joined by line breaks. One that would lose more than
     the share `max_loss` of its tokens stays whole. Null texts stay null and have no lines; an
-    empty text has one, which stays. Repeated rows are kept, and count as one document.
+    empty text has one, which stays. Repeated rows are kept, and count as one document. Columns of
+    `documents` that are named like the two new ones are replaced.
     """
     lines = stored(line_table(documents, text=text, min_tokens=min_tokens, depth=depth), "lines")
     doomed = stored(
@@ -163,7 +164,7 @@ def drop_recurring_lines(
         .groupBy("doc")
         .agg(F.collect_set("at").alias("_at"), F.sum("tokens").alias("_lost"))
     )
-    names = documents.columns
+    names = [n for n in documents.columns if n not in ("n_lines", "n_dropped")]
     whole = F.split(text, "\n")
     words = F.size(F.split(F.btrim(F.regexp_replace(text, f"[{SPACES}]+", " "), F.lit(" ")), " "))
     loses = F.when(

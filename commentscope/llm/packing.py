@@ -63,7 +63,7 @@ class _Known(dict):
             ids = self._word(self._prefix + piece)
         elif piece[-1:] in _STOPS and piece[:-1].isalpha():
             ids = self[piece[:-1]] + self._word(piece[-1])
-        elif piece[:1] == "\n":
+        elif piece[:1] == "\n" and not piece[1:2].isspace():
             ids = self._word("\n") + self._encoding.start[piece[1:]]
         else:
             ids = self._encoding.encode(self._prefix + piece)

@@ -264,12 +264,13 @@ def replace_personal_data(
     """`documents` with surrogates for the entities in `text`, and `entities`, an array of
     (type, start, end, surrogate) with places in the old text as code points.
 
-    Null texts stay null and have no entities; other columns and repeated rows stay as they are.
+    Null texts stay null and have no entities; other columns and repeated rows stay as they are,
+    but for a column `entities`, which is replaced.
     With `check`, a job over all entities first raises if two of them share a surrogate.
     """
     if check and (clash := collisions(surrogate_table(documents, key=key, text=text)).first()):
         raise ValueError(f"surrogates are not distinct: {clash['type']}")
-    names = documents.columns
+    documents = documents.drop("entities")
     entity = pa.list_(
         pa.struct(
             [("type", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("surrogate", pa.string())]
@@ -295,7 +296,7 @@ def replace_personal_data(
             )
 
     schema = ", ".join(f"`{n}` {t}" for n, t in documents.dtypes)
-    return documents.select(*[f"`{n}`" for n in names]).mapInArrow(
+    return documents.mapInArrow(
         replace,
         f"{schema}, entities array<struct<type: string, start: bigint, end: bigint, surrogate: string>>",
     )

@@ -11,6 +11,7 @@ from . import (
     pii,
     quality,
     secrets,
+    suffix_dedup,
     url_filter,
 )
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_language_id": language.op6_language_id,
     "op7_secret_scans": secrets.op7_secret_scans,
+    "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_line_dedup": line_templates.op9_line_dedup,
     "op10_pii": pii.op10_pii,
 }
