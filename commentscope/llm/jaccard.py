@@ -10,13 +10,16 @@ one shingle for each sub-class. Candidates that share a signature are verified o
 
 Candidates are not all pairs of a group: every document is first compared with the least document
 of its signature's group (the leader). Those linked to the leader need no comparison with each
-other. Those that are not are compared with the group, except where the triangle inequality of
-the Jaccard distance, by the known distances to the leader, rules a link out. So no link between
-groups is lost, and a group of copies costs as many comparisons as it has members.
+other, and neither do any that links have joined to one component by then. Nodes of a group that
+are in other components are compared with the group, except where sizes, the triangle inequality
+of the Jaccard distance by the known distances to the leader, or sketches that differ in more bits
+than linked sets can differ in members rule a link out. So no
+link between components is lost, and a group of copies costs as many comparisons as it has
+members.
 
 Documents with equal shingle sets are one node from the start. The classes only steer how long
 prefixes are and never decide a link: they come from a table of fixed-width cells, where a
-shingle has the class of its cell's most frequent one, of at most 2**30 cells (256 MB).
+shingle has the class of its cell's most frequent one, of at most 2**28 cells (64 MB).
 """
 
 from __future__ import annotations
@@ -44,7 +47,7 @@ SUBCLASS = 4
 BAND = 1.3  # more than 1 / similarity, so linked documents are in the same or the next band
 
 UNSHARED, RARE, COMMON = 0, 1, 2
-MIN_CELL_BITS, MAX_CELL_BITS = 16, 30
+MIN_CELL_BITS, MAX_CELL_BITS = 16, 28
 BUCKET_TOKENS = 1 << 20
 FLUSH_TOKENS = 4 << 20
 
@@ -65,6 +68,16 @@ def set_digest(tokens: np.ndarray) -> bytes | None:
     return b"".join(int(h).to_bytes(8, "big") for h in halves)
 
 
+SKETCH_WORDS = 16
+
+
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """Bits that tell whether an odd number of the set's hashes falls on them. Two sets differ in
+    at least as many members as their sketches do in bits."""
+    odd = np.bincount((tokens & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 # --- classes -------------------------------------------------------------------------------
 
 
@@ -190,32 +203,34 @@ def signatures(tokens: np.ndarray, classes: np.ndarray, similarity: int = SIMILA
 
 
 def signature_table(documents: DataFrame, classes: Classes, similarity: int) -> DataFrame:
-    """`node` (digest of the set), `text` and `signatures` of documents that have any. Copies in
-    one step are one row."""
+    """`node` (digest of the set), `size` and `sketch` (of the set), `text` and `signatures` of
+    documents that have any. Copies in one step are one row."""
     shared = documents.sparkSession.sparkContext.broadcast(classes)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            rows: dict[bytes, tuple[int, np.ndarray]] = {}
+            rows: dict[bytes, tuple[int, int, np.ndarray, np.ndarray]] = {}
             for at, tokens in enumerate(shingle_sets(batch.column("text"))):
                 node = set_digest(tokens)
                 if node is None or node in rows:
                     continue
                 signs = signatures(tokens, shared.value.of(tokens), similarity)
                 if len(signs):
-                    rows[node] = at, signs.view(np.int64)
+                    rows[node] = at, len(tokens), parity_sketch(tokens), signs.view(np.int64)
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(list(rows), pa.binary()),
-                        batch.column("text").take(pa.array([at for at, _ in rows.values()])),
-                        pa.array([s for _, s in rows.values()], pa.list_(pa.int64())),
+                        batch.column("text").take(pa.array([row[0] for row in rows.values()])),
+                        pa.array([row[1] for row in rows.values()], pa.int64()),
+                        pa.array([row[2] for row in rows.values()], pa.list_(pa.int64())),
+                        pa.array([row[3] for row in rows.values()], pa.list_(pa.int64())),
                     ],
-                    ["node", "text", "signatures"],
+                    ["node", "text", "size", "sketch", "signatures"],
                 )
 
     return documents.select("text").mapInArrow(
-        sign, "node binary, text string, signatures array<bigint>"
+        sign, "node binary, text string, size bigint, sketch array<bigint>, signatures array<bigint>"
     )
 
 
@@ -250,51 +265,112 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(compare, "a binary, b binary, common bigint, n_a bigint, n_b bigint")
 
 
+def _groups(signed: DataFrame) -> DataFrame:
+    """`sign`, `leader`, `node`, `size`: who shares a signature, without the leader, the least.
+
+    Signatures that the same nodes share are one: counts and two 64-bit sums of hashes tell.
+    """
+    held = (
+        signed.select("node", "size", "signatures")
+        .dropDuplicates(["node"])
+        .select("node", "size", F.explode("signatures").alias("sign"))
+    )
+    groups = (
+        held.groupBy("sign")
+        .agg(
+            F.min(F.struct("node", "size")).alias("leader"),
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("node")).alias("one"),
+            F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("two"),
+        )
+        .where("n > 1")
+        .groupBy("leader", "n", "one", "two")
+        .agg(F.min("sign").alias("sign"))
+        .select("sign", F.col("leader.node").alias("leader"), F.col("leader.size").alias("leader_size"))
+    )
+    return held.join(groups, "sign").where("node != leader")
+
+
 def links_between(signed: DataFrame, similarity: int) -> DataFrame:
     """`a`, `b`: links that connect the same nodes as all links do."""
     union = F.col("n_a") + F.col("n_b") - F.col("common")
-    linked = (100 * F.col("common") >= similarity * union).alias("linked")
+    linked = 100 * F.col("common") >= similarity * union
     texts = signed.select("node", "text")
-    held = signed.select("node", F.explode("signatures").alias("sign"))
-    leaders = (
-        held.groupBy("sign")
-        .agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-        .where("leader != last")
-        .select("sign", "leader")
-    )
-    members = stored(
-        held.join(leaders, "sign").where("node != leader").distinct(), "members"
-    )
-    stars = stored(
-        members.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "stars"
-    )
+
+    def fit(one: str, two: str):
+        """Whether sets of these sizes can be similar enough at all."""
+        return 100 * F.least(one, two) >= similarity * F.greatest(one, two)
 
     def one_text(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         return stored(texts.join(asked, "node").dropDuplicates(["node"]), "candidates")
 
+    members = stored(_groups(signed), "members")
+    stars = stored(
+        members.where(fit("leader_size", "size"))
+        .select(F.col("leader").alias("a"), F.col("node").alias("b"))
+        .distinct(),
+        "stars",
+    )
     first = stored(
         compared(stars, one_text(stars)).select(
             F.col("a").alias("leader"),
             F.col("b").alias("node"),
-            linked,
+            linked.alias("linked"),
             (1 - F.col("common") / union).alias("distance"),
         ),
         "compared",
     )
     found = first.where("linked").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    apart = first.where("not linked")
-    if apart.isEmpty():
-        return found
-    placed = members.join(first, ["leader", "node"]).select("sign", "node", "linked", "distance")
-    odd = placed.where("not linked").select(
-        "sign", F.col("node").alias("odd"), F.col("distance").alias("odd_distance")
+
+    # What is left: nodes of a group that are in other components by now.
+    parts = stored(connected_components(found), "parts")
+    placed = stored(
+        members.join(first, ["leader", "node"], "left")
+        .join(parts, "node", "left")
+        .select(
+            "sign", "node", "size", "distance",
+            F.coalesce("linked", F.lit(False)).alias("linked"),
+            F.coalesce("component", "node").alias("component"),
+        ),
+        "placed",
+    )
+    split = (
+        placed.groupBy("sign")
+        .agg(
+            F.min("component").alias("least"), F.max("component").alias("most"),
+            F.max_by("component", F.col("linked")).alias("own"),
+            F.max("linked").alias("any"),
+        )
+        .where("least != most")
+        .select("sign", F.when(F.col("any"), F.col("own")).alias("own"))
+    )
+    sketches = signed.select("node", "sketch").dropDuplicates(["node"])
+    open_ = stored(placed.join(split, "sign").join(sketches, "node"), "open")
+    # Nodes of the leader's component (`own`) need no comparison with each other; any pair of
+    # two components has a node outside it.
+    odd = open_.where(F.col("own").isNull() | (F.col("component") != F.col("own"))).select(
+        "sign",
+        F.col("node").alias("odd"),
+        F.col("size").alias("odd_size"),
+        F.col("distance").alias("odd_distance"),
+        F.col("component").alias("odd_component"),
+        F.col("sketch").alias("odd_sketch"),
+    )
+    # Sets that are similar enough differ in few members, and so do their sketches in bits.
+    bits = sum(
+        F.bit_count(F.get("sketch", F.lit(k)).bitwiseXOR(F.get("odd_sketch", F.lit(k))))
+        for k in range(SKETCH_WORDS)
     )
+    few = (100 + similarity) * bits <= (100 - similarity) * (F.col("size") + F.col("odd_size"))
     reach = 1 - similarity / 100 + 1e-9
+    near = F.coalesce(F.abs(F.col("odd_distance") - F.col("distance")) <= reach, F.lit(True))
+    inside = F.coalesce(F.col("component") == F.col("own"), F.lit(False))
     rest = (
-        odd.join(placed, "sign")
-        .where((F.col("linked") & (F.col("odd") != F.col("node"))) | (F.col("odd") < F.col("node")))
-        .where(F.abs(F.col("odd_distance") - F.col("distance")) <= reach)
+        odd.join(open_, "sign")
+        .where(F.col("odd_component") != F.col("component"))
+        .where(inside | (F.col("odd") < F.col("node")))
+        .where(near & fit("odd_size", "size") & few)
         .select(F.least("odd", "node").alias("a"), F.greatest("odd", "node").alias("b"))
         .distinct()
     )
