@@ -132,8 +132,23 @@ def _csv_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hashed(read_comments_csv_split(spark, _raw_csv(spark, sf_dir)))
 
 
+def _dataset_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw comments in two folders below the dataset's folder, one of them deeper."""
+    path = new_dir(spark, "dataset")
+    comments = _comments(spark, sf_dir)
+    odd = F.col("id").cast("bigint") % 2
+    for folder, part in (("a", 0), ("b/c", 1)):
+        rows = comments.where(odd == part).toDF(*RAW_HEADER)
+        write_result(rows, f"{path}/{folder}", fmt="csv")
+    return _landed_days(land_raw(spark, path, new_dir(spark, "bronze")))
+
+
 def _bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = land_raw(spark, _raw_csv(spark, sf_dir), new_dir(spark, "bronze"), split=True)
+    raw = _raw_csv(spark, sf_dir)
+    return _landed_days(land_raw(spark, raw, new_dir(spark, "bronze"), split=True))
+
+
+def _landed_days(landed: DataFrame) -> DataFrame:
     return (
         landed.groupBy(F.to_date(F.timestamp_seconds("created_utc")).alias("day"))
         .agg(
@@ -269,6 +284,7 @@ def queries() -> dict[str, Query]:
         "csv_scan": _csv_scan,
         "csv_scan_split": _csv_scan_split,
         "bronze_landing": _bronze_landing,
+        "dataset_landing": _dataset_landing,
         "result_round_trip": _round_trip("parquet"),
         "result_round_trip_csv": _round_trip("csv"),
         "serving_cleanup": _report(_serving_cleanup),

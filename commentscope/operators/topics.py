@@ -39,7 +39,6 @@ def _vocabulary(
 ) -> DataFrame:
     if min_documents < 1:
         min_documents = min_documents * documents.count()
-    # Stop words go after counting: a look at each distinct term instead of each token.
     stop_words = StopWordsRemover.loadDefaultStopWords(language)
     return (
         _term_counts(documents, count_terms)
@@ -76,14 +75,24 @@ def lda_topics(
     terms_per_topic: int = 20,
     count_terms: bool = False,
     language: str = "english",
+    id_column: str = "id",
+    partitions: int = 64,
+    sampling_rate: float = 0.05,
 ) -> DataFrame:
     """Topics by online variational Bayes, each with its heaviest terms and their weights.
 
+    Each iteration of the fit looks at a sample of `sampling_rate` of the documents, drawn per
+    partition; 1 looks at all. Documents are dealt over `partitions` by `id_column` and ordered by
+    it, so that the seed gives the same samples whatever the files' splits and the cores are.
+
     A document counts a term once, unless `count_terms`. Fitting runs jobs: one for the
     vocabulary, which alone comes to the driver (`vocabulary_size` terms), one that stores the
     sparse vectors, and one per iteration over the stored vectors.
     """
-    documents = _documents(comments)
+    documents = (
+        comments.where(F.col("body").isNotNull())
+        .select(F.col(id_column).alias("id"), tokens(F.col("body")).alias("terms"))
+    )
     vocabulary = _vocabulary(documents, vocabulary_size, min_documents, count_terms, language)
     terms = [row["term"] for row in vocabulary.collect()]
     if not terms:
@@ -93,9 +102,16 @@ def lda_topics(
     vectorizer = CountVectorizerModel.from_vocabulary(
         terms, inputCol="terms", outputCol="features"
     ).setBinary(not count_terms)
-    vectors = durable(vectorizer.transform(documents).select("features"))
+    vectors = durable(
+        vectorizer.transform(documents)
+        .select("id", "features")
+        .repartition(partitions, "id")
+        .sortWithinPartitions("id")
+        .select("features")
+    )
     model = LDA(
-        k=num_topics, maxIter=max_iter, optimizer="online", seed=seed, featuresCol="features"
+        k=num_topics, maxIter=max_iter, optimizer="online", seed=seed, featuresCol="features",
+        subsamplingRate=sampling_rate,
     ).fit(vectors)
 
     lookup = F.lit(terms)

@@ -15,6 +15,7 @@ DEFAULTS = {
     "spark.rdd.compress": "true",
     "spark.speculation": "false",
     "spark.driver.maxResultSize": "2g",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 

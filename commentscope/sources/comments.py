@@ -11,12 +11,11 @@ from .records import csv_records
 # Doubled quotes stand for a quote; quoted fields may span lines.
 CSV_OPTIONS = {"escape": '"', "multiLine": "true"}
 
-# Below this size, one task reads a file soon enough.
-SPLIT_ABOVE_BYTES = 1 << 30
+# Folders below a dataset's folder belong to it, for listing and for reading.
+RECURSIVE = {"recursiveFileLookup": "true"}
 
-# Reading in splits takes about this many times the work of reading a file in one task: it scans
-# the lines up to three times and takes them through Arrow (measured on one 736 MB file).
-SPLIT_COST = 12
+# How CSV file names end, compressed ones too.
+CSV_NAME = r"(?i)\.csv(\.(gz|bz2|zst|lz4|snappy|deflate))?$"
 
 
 def read_comments_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -27,7 +26,7 @@ def read_comments_csv(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = (
         spark.read.schema(RAW_COMMENTS)
-        .options(header=True, enforceSchema=False, **CSV_OPTIONS)
+        .options(header=True, enforceSchema=False, **CSV_OPTIONS, **RECURSIVE)
         .csv(path)
     )
     # Dotted names would need quoting in every later step.
@@ -37,8 +36,16 @@ def read_comments_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_comments_csv_split(spark: SparkSession, path: str) -> DataFrame:
     """Like `read_comments_csv`, but a large file is read by many tasks.
 
-    Needs uncompressed RFC 4180 files: quotes only around a field or doubled inside it.
+    Needs RFC 4180 files: quotes only around a field or doubled inside it. On any other file it
+    raises, for records found by counting quotes would be wrong from there on: a record that such
+    a quote opens too early or closes too late has a quote where none may be.
     """
+    # What is left of a record's quotes without doubled ones and those around a field.
+    single = F.replace("text", F.lit('""'), F.lit(""))
+    stray = F.regexp_replace(single, r'(^|,)"[^"]*"(?=,|\r?$)', "$1").contains('"')
+    text = F.when(
+        stray, F.raise_error(F.concat(F.lit("unbalanced quotes in CSV record: "), F.substring("text", 1, 200)))
+    ).otherwise(F.col("text"))
     header = ",".join(RAW_HEADER)
     header_fits = F.lower(F.regexp_replace("text", r'["\uFEFF]', "")) == header
     is_data = F.when(
@@ -51,7 +58,7 @@ def read_comments_csv_split(spark: SparkSession, path: str) -> DataFrame:
     return (
         csv_records(spark, path)
         .where(is_data)
-        .select(F.from_csv("text", columns, CSV_OPTIONS).alias("comment"))
+        .select(F.from_csv(text, columns, CSV_OPTIONS).alias("comment"))
         .select("comment.*")
     )
 
@@ -63,38 +70,39 @@ def _csv_files(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .load(path)
         .select("path", "length")
-        .where(F.lower("path").endswith(".csv"))
+        .where(F.col("path").rlike(CSV_NAME))
     )
 
 
-def pays_to_split(largest: int, total: int, cores: int) -> bool:
-    """Whether splits finish before the one task that would read the largest file."""
-    return largest > SPLIT_ABOVE_BYTES and largest * cores > SPLIT_COST * total
-
-
 def land_raw(
     spark: SparkSession,
     source: str,
     target: str,
     *,
     file_name: str | None = None,
-    split: bool | None = None,
+    split: bool = False,
 ) -> DataFrame:
     """Store comment CSV as Parquet at `target`, once, and return the stored comments.
 
-    `file_name` picks one file of a dataset folder. Files are read in splits where one of them
-    would keep a task busy after the rest of the cluster is done; `split` overrides that.
+    All CSV files at and below `source` are one dataset. `file_name` picks one file of it, and
+    raises where there is none of that name or more than one. `split` reads large files in many
+    tasks; it gives the same rows, or raises on files that are not strictly RFC 4180.
     """
     if file_name is not None:
         files = _csv_files(spark, source)
-        wanted = files.where(F.element_at(F.split("path", "/"), -1) == file_name).first()
-        if wanted is None:
+        wanted = (
+            files.where(F.element_at(F.split("path", "/"), -1) == file_name)
+            .orderBy("path")
+            .limit(20)
+            .collect()
+        )
+        if not wanted:
             names = [row["path"] for row in files.select("path").orderBy("path").limit(20).collect()]
             raise FileNotFoundError(f"{file_name} is not in {source}; found: {', '.join(names)}")
-        source = wanted["path"]
-    if split is None:
-        largest, total = _csv_files(spark, source).agg(F.max("length"), F.sum("length")).first()
-        split = pays_to_split(largest or 0, total or 0, spark.sparkContext.defaultParallelism)
+        if len(wanted) > 1:
+            found = ", ".join(row["path"] for row in wanted)
+            raise ValueError(f"{file_name} is in {source} more than once: {found}")
+        source = wanted[0]["path"]
     read = read_comments_csv_split if split else read_comments_csv
     read(spark, source).write.mode("overwrite").parquet(target)
     return spark.read.schema(COMMENTS).parquet(target)

@@ -45,7 +45,7 @@ PIECES_ARROW = pa.schema(
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with the split they start in and their position, which rises within a split."""
     return (
-        spark.read.option("lineSep", "\n")
+        spark.read.options(lineSep="\n", recursiveFileLookup="true")
         .text(path)
         .select(
             F.col("_metadata.file_path").alias("file"),

@@ -354,6 +354,7 @@ ORACLES = {
     "csv_scan": _with(SCAN),
     "csv_scan_split": _with(SCAN),
     "bronze_landing": _with(LANDED),
+    "dataset_landing": _with(LANDED),
     "result_round_trip": _with(EXTREMES),
     "result_round_trip_csv": _with(EXTREMES),
     "serving_cleanup": _with(SERVING_CLEANUP),

@@ -1,3 +1,4 @@
+import gzip
 import random
 import subprocess
 import sys
@@ -21,7 +22,6 @@ from commentscope.sources import (
     read_comments_csv_split,
     read_result,
 )
-from commentscope.sources.comments import pays_to_split
 
 HEADER = ",".join(schemas.RAW_HEADER)
 READERS = [read_comments_csv, read_comments_csv_split]
@@ -126,15 +126,52 @@ def test_field_longer_than_several_splits(spark, tmp_path):
     assert [(r["id"], r["body"], r["score"]) for r in rows] == [("a", body, 1), ("b", body, 2)]
 
 
-def test_splitting_must_pay():
-    gib = 1 << 30
-    assert pays_to_split(largest=12 * gib, total=12 * gib, cores=400)
-    assert not pays_to_split(largest=12 * gib, total=12 * gib, cores=8)
-    assert not pays_to_split(largest=12 * gib, total=12_000 * gib, cores=4000)
-    assert not pays_to_split(largest=gib // 2, total=gib // 2, cores=400)
+BAD_FILES = {
+    "a stray quote": 'comment,a,,,,,,a 5" pipe,,1\ncomment,b,,,,,,hi,,2\ncomment,c,,,,,,7" and 9",,3\n',
+    "an unclosed field": 'comment,a,,,,,,hi,,1\ncomment,b,,,,,,"never closed,,2\ncomment,c,,,,,,x,,3\n',
+    "text behind a quoted field": 'comment,a,,,,,,"x" y,,1\ncomment,b,,,,,,hi,,2\n',
+}
 
 
-@pytest.mark.parametrize("split", [True, False, None])
+@pytest.mark.parametrize("split_bytes", [16, 100, 5000])
+@pytest.mark.parametrize("kind", BAD_FILES)
+def test_split_reader_refuses_stray_quotes(spark, tmp_path, kind, split_bytes):
+    path = write_csv(tmp_path / "c.csv", f"{HEADER}\n{BAD_FILES[kind]}")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(split_bytes))
+    try:
+        with pytest.raises(Exception, match="unbalanced quotes"):
+            read_comments_csv_split(spark, path).collect()
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_landing_keeps_rows_of_a_file_with_a_stray_quote(spark, tmp_path):
+    path = write_csv(tmp_path / "c.csv", f"{HEADER}\n{BAD_FILES['a stray quote']}")
+    landed = land_raw(spark, path, str(tmp_path / "bronze"))
+    assert sorted(r["id"] for r in landed.collect()) == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_landing_takes_a_whole_dataset(spark, tmp_path, split):
+    """Folders below folders, compressed files, and names that stand in two folders."""
+    for folder, name in [("x", "c.csv"), ("y", "c.csv"), ("y/z", "d.csv")]:
+        (tmp_path / "raw" / folder).mkdir(parents=True, exist_ok=True)
+        write_csv(tmp_path / "raw" / folder / name, f"{HEADER}\ncomment,{folder},,,,,,hi,,1\n")
+    packed = gzip.compress(f"{HEADER}\ncomment,gz,,,,,,hi,,1\n".encode())
+    (tmp_path / "raw" / "e.csv.gz").write_bytes(packed)
+    raw, target = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    landed = land_raw(spark, raw, target, split=split)
+    assert sorted(r["id"] for r in landed.collect()) == ["gz", "x", "y", "y/z"]
+    for name, expected in [("d.csv", "y/z"), ("e.csv.gz", "gz")]:
+        one = land_raw(spark, raw, target, file_name=name, split=split)
+        assert [r["id"] for r in one.collect()] == [expected]
+    with pytest.raises(ValueError, match="more than once"):
+        land_raw(spark, raw, target, file_name="c.csv", split=split)
+
+
+@pytest.mark.parametrize("split", [True, False])
 def test_landing(spark, fixture_comments, tmp_path, split):
     raw = str(tmp_path / "raw")
     write_result(fixture_comments.toDF(*schemas.RAW_HEADER), raw, fmt="csv")
