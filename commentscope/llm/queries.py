@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
 from . import (
     decontaminate,
     jaccard,
@@ -15,7 +20,22 @@ from . import (
     url_filter,
 )
 
-QUERIES = {
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def with_package(query: Query) -> Query:
+    """`query`, whose Python workers find this package beside the driver's copy, wherever the
+    driver was started. On a cluster without that folder, ship the package with --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
     "op2_packing": packing.op2_packing,
     "op3_quality_rules": quality.op3_quality_rules,
@@ -28,6 +48,8 @@ QUERIES = {
     "op10_pii": pii.op10_pii,
 }
 
+QUERIES: dict[str, Query] = {name: with_package(query) for name, query in _QUERIES.items()}
+
 ORACLES = {
     "op1_url_filters": url_filter.SQL,
     "op3_quality_rules": quality.SQL,

@@ -17,6 +17,7 @@ from commentscope.llm.jaccard import near_duplicate_groups
 from commentscope.llm.language import UNKNOWN, fit, identify
 from commentscope.llm.line_templates import drop_recurring_lines
 from commentscope.llm.packing import pack_documents
+from commentscope.llm.queries import with_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -82,6 +83,7 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
+@with_package
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each stored before the next one reads it."""
     docs = table(spark, sf_dir, "documents")
