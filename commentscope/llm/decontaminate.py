@@ -219,9 +219,8 @@ def _mark_block(documents: DataFrame, seeds: Seeds, min_match: int, coverage: fl
                     words.hashes[words.first[row] : words.first[row + 1]],
                     at[own] - first[row], seed[own], shared.value, min_match, coverage,
                 )
-            yield batch.set_column(
-                column, "leaks", pa.array(leaks, batch.schema.field(column).type)
-            )
+            field = batch.schema.field(column)
+            yield batch.set_column(column, field, pa.array(leaks, field.type))
 
     schema = ", ".join(f"`{n}` {t}" for n, t in documents.dtypes)
     return documents.mapInArrow(mark, schema)

@@ -314,6 +314,15 @@ def test_reordered_and_partial_passages(spark, odd):
     assert empty.where("size(leaks) = 0").count() == len(ODD_TEXTS)
 
 
+def test_leaks_in_some_batches_only(spark):
+    item = " ".join(f"q{i}" for i in range(20))
+    rows = [(k, "filler words " * 100_000 + (item if k % 2 else "")) for k in range(6)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    marked = decontaminate.mark_leaks(documents, benchmark, keep=["doc_id"]).collect()
+    assert {r["doc_id"]: len(r["leaks"]) for r in marked} == {k: k % 2 for k, _ in rows}
+
+
 def test_tiles_are_greedy():
     assert decontaminate.tiles([1, 2, 3, 4, 5], [3, 4, 5, 9, 1, 2, 3, 4], 2) == [(0, 4, 4)]
     assert decontaminate.tiles([1, 2, 3, 4], [3, 4, 0, 1, 2], 2) == [(0, 3, 2), (2, 0, 2)]
