@@ -432,9 +432,8 @@ def test_suffix_dedup_odd(odd, none):
 
 
 def test_templates_with_variable_fields(spark):
-    body = "some words that only this text {} has in its long body and nothing else at all {}"
     rows = [
-        (k, f"user {n} logged in from host {k}.example at night time\n{body.format(n, n)}\nOr.")
+        (k, f"user {n} logged in from host {k}.example at night time\n{' '.join(n + c for c in 'abcdefghijklmnop')}\nOr.")
         for k, n in enumerate(["ann", "bob", "cid", "dan", "eve", "fay"])
     ] + [(6, None), (7, ""), (8, "user ann logged in from host 0.example at night time")]
     df = spark.createDataFrame(
@@ -445,7 +444,7 @@ def test_templates_with_variable_fields(spark):
     assert got[6] == (None, 0, 0) and got[7] == ("", 1, 0)
     assert got[8][2] == 0  # it would lose everything
     assert [got[k][2] for k in range(6)] == [1] * 6
-    assert all(got[k][0].startswith("some words") for k in range(6))
+    assert all(got[k][0].startswith(rows[k][1].split("\n")[1]) for k in range(6))
 
 
 def test_line_dedup_odd(odd, none):
