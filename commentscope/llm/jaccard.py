@@ -70,6 +70,9 @@ def set_digest(tokens: np.ndarray) -> bytes | None:
 
 SKETCH_WORDS = 16
 
+# Least signatures that a node carries into the join of nodes that share one.
+FIRST_SIGNS = 16
+
 
 def parity_sketch(tokens: np.ndarray) -> np.ndarray:
     """Bits that tell whether an odd number of the set's hashes falls on them. Two sets differ in
@@ -346,7 +349,12 @@ def links_between(signed: DataFrame, similarity: int) -> DataFrame:
         .select("sign", F.when(F.col("any"), F.col("own")).alias("own"))
     )
     sketches = signed.select("node", "sketch").dropDuplicates(["node"])
-    open_ = stored(placed.join(split, "sign").join(sketches, "node"), "open")
+    undecided = stored(placed.join(split, "sign"), "undecided")
+    # A node has no more signatures here than its row of `signed` lists.
+    first_signs = undecided.groupBy("node").agg(
+        F.slice(F.sort_array(F.collect_list("sign")), 1, FIRST_SIGNS).alias("first_signs")
+    )
+    open_ = stored(undecided.join(first_signs, "node").join(sketches, "node"), "open")
     # Nodes of the leader's component (`own`) need no comparison with each other; any pair of
     # two components has a node outside it.
     odd = open_.where(F.col("own").isNull() | (F.col("component") != F.col("own"))).select(
@@ -356,6 +364,7 @@ def links_between(signed: DataFrame, similarity: int) -> DataFrame:
         F.col("distance").alias("odd_distance"),
         F.col("component").alias("odd_component"),
         F.col("sketch").alias("odd_sketch"),
+        F.col("first_signs").alias("odd_first_signs"),
     )
     # Sets that are similar enough differ in few members, and so do their sketches in bits.
     bits = sum(
@@ -366,11 +375,15 @@ def links_between(signed: DataFrame, similarity: int) -> DataFrame:
     reach = 1 - similarity / 100 + 1e-9
     near = F.coalesce(F.abs(F.col("odd_distance") - F.col("distance")) <= reach, F.lit(True))
     inside = F.coalesce(F.col("component") == F.col("own"), F.lit(False))
+    # Each group that two nodes share tells of them, with the same outcome; of those among the
+    # first signatures of both, the least does. So alike nodes are one pair, not one a group.
+    least_shared = F.array_min(F.array_intersect("first_signs", "odd_first_signs"))
+    told_here = F.coalesce(least_shared >= F.col("sign"), F.lit(True))
     rest = (
         odd.join(open_, "sign")
         .where(F.col("odd_component") != F.col("component"))
         .where(inside | (F.col("odd") < F.col("node")))
-        .where(near & fit("odd_size", "size") & few)
+        .where(near & fit("odd_size", "size") & few & told_here)
         .select(F.least("odd", "node").alias("a"), F.greatest("odd", "node").alias("b"))
         .distinct()
     )
