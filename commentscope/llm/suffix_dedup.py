@@ -9,8 +9,9 @@ and a merge across shards by binary search.
   few pieces, and no window is a row.
 * Anchors that occur once need nothing more; where all pieces of an anchor are equal, all their
   windows repeat. Only pieces of other anchors are fetched and sorted: shards of whole anchors
-  build the suffix array of their pieces, and neighbours with a common prefix of `length` bytes
-  or more are repeated windows.
+  build the suffix array of those pieces that agree with another one on the bytes around the
+  anchor that a common window needs, and neighbours with a common prefix of `length` bytes or
+  more are repeated windows.
 * An anchor with very many different pieces is not sorted in one shard. The range of places that
   its anchor has in the windows is halved, and halves are grouped anew by the bytes that all
   windows of a half have in common. So the border up to which pieces agree is found by binary
@@ -22,6 +23,7 @@ Hashes are 64 bit, and pieces are only compared where the hashes of anchors are
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +44,9 @@ PLACE_BITS = 28
 MAX_KINDS = 256
 SHARD_BYTES = 1 << 20
 
+# Ranges of places of an anchor for which pieces are compared before they are sorted.
+ANCHOR_RANGES = 4
+
 _ONE, _TWO = Rolling(0xA11CE), Rolling(0xB0B)
 
 
@@ -212,6 +217,30 @@ def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
     return [repeats[e - s : e - length + 1] for s, e in zip(sizes, ends)]
 
 
+def can_repeat(
+    groups: list[int], places: list[int], texts: list[bytes], length: int
+) -> np.ndarray:
+    """Which pieces can share a window with another one of their group.
+
+    Equal windows have the anchor at the same place, in one of `ANCHOR_RANGES` ranges, and agree
+    on the bytes that all windows with the anchor in that range have. A piece whose bytes no other
+    piece has, range by range, has no repeated window; within a piece no window repeats.
+    """
+    last = length - ANCHOR
+    width = -(-(last + 1) // ANCHOR_RANGES)
+    held: list[list[tuple[int, int, bytes]]] = []
+    for group, at, text in zip(groups, places, texts):
+        own = []
+        for low in range(0, last + 1, width):
+            high = min(low + width - 1, last)
+            # Only windows within the piece count, so the bytes they share lie in it too.
+            if at >= low and at - high + length <= len(text):
+                own.append((group, low, text[at - low : at - high + length]))
+        held.append(own)
+    counts = Counter(part for own in held for part in own)
+    return np.array([any(counts[part] > 1 for part in own) for own in held], bool)
+
+
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
@@ -296,13 +325,18 @@ def _sorted_shards(parts: DataFrame, length: int, shape: str) -> DataFrame:
 
     def sort(frame: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        flags = repeated_windows(frame["bytes"].tolist(), length)
+        frame = frame[
+            can_repeat(
+                frame["group"].tolist(), frame["at"].tolist(), frame["bytes"].tolist(), length
+            )
+        ]
+        flags = repeated_windows(frame["bytes"].tolist(), length) if len(frame) else []
         for anchor, piece, begin, own in zip(frame["anchor"], frame["piece"], frame["begin"], flags):
             rows += [(anchor, piece, begin + a, begin + b) for a, b in _runs(own)]
         return pd.DataFrame(rows, columns=["anchor", "piece", "begin", "end"]).astype("int64")
 
     return (
-        parts.select("group", "anchor", "piece", "begin", "bytes")
+        parts.select("group", "anchor", "piece", "begin", "at", "bytes")
         .withColumn("shard", F.pmod(F.xxhash64("group"), F.lit(shards)))
         .groupBy("shard")
         .applyInPandas(sort, shape)
