@@ -352,11 +352,14 @@ def repeated_spans(
         F.unhex(F.md5(text)).alias("id"), F.col(text).alias("text")
     )
     pieces = stored(piece_table(texts, length), "pieces")
-    shared = (
+    # Stored, so that the join below is not bound to the aggregation's partitions and the rows of
+    # one very frequent anchor can be split.
+    shared = stored(
         pieces.groupBy("anchor")
         .agg(F.count("*").alias("n"), F.min("piece").alias("least"), F.max("piece").alias("most"))
         .where("n > 1")
-        .select("anchor", (F.col("least") != F.col("most")).alias("mixed"))
+        .select("anchor", (F.col("least") != F.col("most")).alias("mixed")),
+        "shared-anchors",
     )
     placed = stored(pieces.join(shared, "anchor"), "shared-pieces")
     whole = placed.where("not mixed").select(
