@@ -161,11 +161,13 @@ def publish_run(
     fmt: str = "parquet",
     modes: Mapping[str, str] | None = None,
     reject_violations: bool = False,
+    surrogate_id: bool = False,
 ) -> DataFrame:
     """Publish a run's stored results, from `paths` or from where the named run put them."""
     results = stored_results(spark, paths or output_paths(base_path, run_name), fmt)
     return publish_results(
-        spark, results, write, modes=modes, reject_violations=reject_violations
+        spark, results, write, modes=modes, reject_violations=reject_violations,
+        surrogate_id=surrogate_id,
     )
 
 

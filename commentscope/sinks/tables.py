@@ -46,7 +46,8 @@ def clean_for_serving(df: DataFrame, *, unix_as_timestamp: bool = False) -> Data
 
 
 def with_surrogate_id(df: DataFrame) -> DataFrame:
-    """A random unique `row_id` per row: no counter to share between tasks, retries or loads."""
+    """A random unique `row_id` per row: no counter to share between tasks, and other ids
+    when a task is retried or a load repeated."""
     return df.select(F.uuid().alias("row_id"), "*")
 
 
@@ -108,6 +109,7 @@ def publish_results(
     *,
     modes: Mapping[str, str] | None = None,
     reject_violations: bool = False,
+    surrogate_id: bool = False,
 ) -> DataFrame:
     """Publish each result; a row per table tells how it went.
 
@@ -121,7 +123,8 @@ def publish_results(
             df = result() if callable(result) else result
             mode = (modes or {}).get(table, "overwrite")
             counts = publish_table(
-                df, table, write, mode=mode, reject_violations=reject_violations
+                df, table, write, mode=mode, reject_violations=reject_violations,
+                surrogate_id=surrogate_id,
             )
             broken = json.dumps(broken_rules(counts))
             rows.append((table, "published", counts["rows"], broken, None))

@@ -289,3 +289,9 @@ def test_surrogate_ids_are_unique(spark, database):
         publish_table(df, table, table_writer(database), mode=mode, surrogate_id=True)
     stored = spark.table(f"{database}.{table}")
     assert stored.select("row_id").distinct().count() == stored.count() == 200
+
+
+def test_surrogate_ids_of_published_results(spark, database, make_comments):
+    results = {"validacion_sentimiento": O.sentiment_check(make_comments([{"score": 1}]))}
+    publish_results(spark, results, table_writer(database), surrogate_id=True)
+    assert spark.table(f"{database}.validacion_sentimiento").columns[0] == "row_id"
