@@ -3,8 +3,10 @@
 Method: a tree of fixed depth. A line goes to a leaf by its number of tokens and its leading
 tokens; tokens with a digit are variable fields, written `<*>`. In a leaf, the line that most
 documents hold is the model; lines that agree with it in enough places are of its template, and
-their other tokens are variable fields too. A template, or a line as it is, that enough documents
-hold is recurring, and its lines are dropped.
+their other tokens are variable fields too. Of the lines that no model has taken the next model is
+chosen, until those left in a leaf are in too few documents to recur, so a leaf can have several
+templates. A template, or a line as it is, that enough documents hold is recurring, and its lines
+are dropped. `SQL` has the first template of each leaf only.
 
 Documents with the same text count once. A document that recurring lines make up for the most
 part is a copy, not a carrier of boilerplate: it stays whole, for near-duplicate removal.
@@ -21,6 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import new_dir
 from .common import SPACES, stored, table
 
 MIN_DOCUMENTS = 5
@@ -100,10 +103,8 @@ def recurring_lines(
     reached = _bounded(stored(reached, "leaves"))
     held = lines.join(reached, "leaf").select("leaf", "masked", "tokens", "doc").distinct()
     held = stored(held, "leaf-lines")
-    counted = held.groupBy("leaf", "masked", "tokens").agg(F.count("*").alias("n"))
-    model = counted.groupBy("leaf").agg(
-        F.min(F.struct((-F.col("n")).alias("n"), "masked")).alias("model")
-    )
+    rest = held.groupBy("leaf", "masked", "tokens").agg(F.count("*").alias("n"))
+    alone = rest.where(F.col("n") >= min_documents).select(F.xxhash64("masked").alias("line"))
     agree = F.size(
         F.filter(
             F.arrays_zip(
@@ -112,28 +113,39 @@ def recurring_lines(
             lambda pair: pair["a"] == pair["b"],
         )
     )
-    judged = counted.join(model, "leaf").select(
-        "leaf",
-        "masked",
-        (F.col("n") >= min_documents).alias("alone"),
-        (100 * agree >= round(100 * similarity) * F.col("tokens")).alias("alike"),
-    )
-    judged = stored(judged, "judged-lines")
-    templates = (
-        held.join(judged.where("alike").select("leaf", "masked"), ["leaf", "masked"])
-        .select("leaf", "doc")
-        .distinct()
-        .groupBy("leaf")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= min_documents)
-        .select("leaf", F.lit(True).alias("recurs"))
-    )
-    return (
-        judged.join(templates, "leaf", "left")
-        .where("alone or (alike and recurs)")
-        .select(F.xxhash64("masked").alias("line"))
-        .distinct()
-    )
+    found = new_dir(lines.sparkSession, "template-lines")
+    alone.write.parquet(found)
+    # Each round takes one template out of each leaf. Every round takes a line at least from each
+    # leaf that is left, so the rounds end.
+    while True:
+        model = rest.groupBy("leaf").agg(
+            F.min(F.struct((-F.col("n")).alias("n"), "masked")).alias("model")
+        )
+        judged = rest.join(model, "leaf").select(
+            "leaf",
+            "masked",
+            "tokens",
+            "n",
+            (100 * agree >= round(100 * similarity) * F.col("tokens")).alias("alike"),
+        )
+        judged = stored(judged, "judged-lines")
+        # Documents of the leaf's template, and of its lines that no model has taken yet.
+        sides = (
+            held.join(judged.select("leaf", "masked", "alike"), ["leaf", "masked"])
+            .select("leaf", "alike", "doc")
+            .distinct()
+            .groupBy("leaf", "alike")
+            .agg(F.count("*").alias("documents"))
+            .where(F.col("documents") >= min_documents)
+            .select("leaf", "alike")
+        )
+        kept = stored(judged.join(sides, ["leaf", "alike"]), "template-sides")
+        kept.where("alike").select(F.xxhash64("masked").alias("line")).write.mode(
+            "append"
+        ).parquet(found)
+        rest = kept.where("not alike").select("leaf", "masked", "tokens", "n")
+        if rest.isEmpty():
+            return lines.sparkSession.read.schema("line bigint").parquet(found).distinct()
 
 
 def drop_recurring_lines(

@@ -447,6 +447,20 @@ def test_templates_with_variable_fields(spark):
     assert all(got[k][0].startswith(rows[k][1].split("\n")[1]) for k in range(6))
 
 
+def test_two_templates_in_a_leaf(spark):
+    """At production parameters: a line of the same length and start is held by more texts."""
+    names = ["ann", "bob", "cid", "dan", "eve", "fay"]
+    lines = [f"This article was written by {n} for the Gazette" for n in names]
+    other = "This article was never meant to be read aloud"
+    rows = [(k, line, "other") for k, line in enumerate(lines)] + [(7, other, "x"), (8, other, "y")]
+    df = spark.createDataFrame(
+        [(k, f"{line}\n{' '.join(f'{c}{a}' + chr(97 + k) for a in 'abcdefghijklm')}") for k, line, c in rows],
+        "doc_id bigint, text string",
+    )
+    got = {r["doc_id"]: r["n_dropped"] for r in line_templates.drop_recurring_lines(df).collect()}
+    assert got == {k: int(k < 6) for k, *_ in rows}
+
+
 def test_line_dedup_odd(odd, none):
     assert line_templates.drop_recurring_lines(odd).count() == len(ODD_TEXTS)
     assert line_templates.drop_recurring_lines(none).count() == 0
