@@ -8,10 +8,12 @@ chosen, until those left in a leaf are in too few documents to recur, so a leaf
 templates. A template, or a line as it is, that enough documents hold is recurring, and its lines
 are dropped. `SQL` has the first template of each leaf only.
 
-Documents with the same text count once. A document that recurring lines make up for the most
-part is a copy, not a carrier of boilerplate: it stays whole, for near-duplicate removal.
+Documents with the same text count once. In the query, as its SQL has it, lines of few tokens stay,
+and a document that recurring lines make up for the most part stays whole, for near-duplicate
+removal. The pipeline judges short lines as they are, and spares of such a document only lines that
+near copies of it hold and too few others.
 
-All steps are DataFrame functions. The lines are stored once, so each text is taken apart once.
+All steps of the query are DataFrame functions. The lines are stored once, so each text is taken apart once.
 Shuffled rows hold hashes of lines; only lines of leaves that enough documents reach are shuffled
 as text.
 """
@@ -25,12 +27,15 @@ from pyspark.sql import functions as F
 
 from ..storage import new_dir
 from .common import SPACES, stored, table
+from .jaccard import near_duplicate_groups
 
 MIN_DOCUMENTS = 5
 MIN_TOKENS = 5
 DEPTH = 3
 SIMILARITY = 0.8
 MAX_LOSS = 0.5
+# Documents that hold a line under MIN_TOKENS tokens, where such lines are judged.
+SHORT_DOCUMENTS = 10
 
 # Leaves and lines whose hashes fit this many bytes are broadcast, others are joined by shuffle.
 MAX_BROADCAST_BYTES = 32 << 20
@@ -91,7 +96,9 @@ def _bounded(df: DataFrame) -> DataFrame:
 def recurring_lines(
     lines: DataFrame, *, min_documents: int = MIN_DOCUMENTS, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """`line`, the hash of each masked line that is to be dropped, from a stored `line_table`."""
+    """`line`, the hash of each masked line that is to be dropped, and `unit`, the hash of the
+    template it is of, or its own if enough documents hold it as it is. From a stored `line_table`.
+    """
     reached = (
         lines.select("leaf", "doc")
         .distinct()
@@ -104,7 +111,8 @@ def recurring_lines(
     held = lines.join(reached, "leaf").select("leaf", "masked", "tokens", "doc").distinct()
     held = stored(held, "leaf-lines")
     rest = held.groupBy("leaf", "masked", "tokens").agg(F.count("*").alias("n"))
-    alone = rest.where(F.col("n") >= min_documents).select(F.xxhash64("masked").alias("line"))
+    line = F.xxhash64("masked").alias("line")
+    alone = rest.where(F.col("n") >= min_documents).select(line, line.alias("unit"))
     agree = F.size(
         F.filter(
             F.arrays_zip(
@@ -126,6 +134,7 @@ def recurring_lines(
             "masked",
             "tokens",
             "n",
+            F.xxhash64("leaf", "model.masked").alias("unit"),
             (100 * agree >= round(100 * similarity) * F.col("tokens")).alias("alike"),
         )
         judged = stored(judged, "judged-lines")
@@ -140,12 +149,51 @@ def recurring_lines(
             .select("leaf", "alike")
         )
         kept = stored(judged.join(sides, ["leaf", "alike"]), "template-sides")
-        kept.where("alike").select(F.xxhash64("masked").alias("line")).write.mode(
-            "append"
-        ).parquet(found)
+        kept.where("alike").select(line, "unit").write.mode("append").parquet(found)
         rest = kept.where("not alike").select("leaf", "masked", "tokens", "n")
         if rest.isEmpty():
-            return lines.sparkSession.read.schema("line bigint").parquet(found).distinct()
+            schema = "line bigint, unit bigint"
+            return lines.sparkSession.read.schema(schema).parquet(found).distinct()
+
+
+def short_lines(lines: DataFrame, *, min_documents: int) -> DataFrame:
+    """`line` and `unit`, both its hash, of each line that so many documents hold as it is."""
+    held = lines.select("line", "doc").distinct().groupBy("line").agg(F.count("*").alias("n"))
+    return held.where(F.col("n") >= min_documents).select("line", F.col("line").alias("unit"))
+
+
+def _beyond_copies(
+    documents: DataFrame, lines: DataFrame, doomed: DataFrame, heavy: DataFrame, *, text: str
+) -> DataFrame:
+    """`doc`, `at`, `tokens` of the lines in the documents `heavy` that recur beyond copies: near
+    copies of each other (as `near_duplicate_groups` has them) count as one holder of a line or
+    template. `doomed` has `line`, `unit` and `needed`."""
+    own = stored(
+        lines.join(heavy, "doc", "left_semi").join(doomed, "line").select(
+            "doc", "at", "tokens", "unit"
+        ),
+        "heavy-lines",
+    )
+    units = doomed.join(own.select("unit").distinct(), "unit", "left_semi")
+    holders = stored(
+        lines.join(units, "line").select("unit", "needed", "doc").distinct(), "holders"
+    )
+    texts = (
+        documents.select(F.xxhash64(text).alias("doc"), F.col(text).alias("text"))
+        .join(holders.select("doc").distinct(), "doc", "left_semi")
+        .dropDuplicates(["doc"])
+    )
+    groups = near_duplicate_groups(stored(texts, "holder-texts"), key="doc")
+    wide = (
+        holders.join(groups.select("doc", "component_id"), "doc")
+        .select("unit", "needed", "component_id")
+        .distinct()
+        .groupBy("unit", "needed")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") >= F.col("needed"))
+        .select("unit")
+    )
+    return own.join(wide, "unit", "left_semi").select("doc", "at", "tokens").distinct()
 
 
 def drop_recurring_lines(
@@ -157,31 +205,58 @@ def drop_recurring_lines(
     min_tokens: int = MIN_TOKENS,
     depth: int = DEPTH,
     similarity: float = SIMILARITY,
+    short_documents: int | None = None,
+    judge_copies: bool = False,
 ) -> DataFrame:
     """`documents` with recurring lines taken out of `text`, and `n_lines`, `n_dropped`.
 
     A text keeps its other lines as they are, joined by line breaks. One that would lose more than
-    the share `max_loss` of its tokens stays whole. Null texts stay null and have no lines; an
+    the share `max_loss` of its tokens stays whole; with `judge_copies`, it only keeps the lines
+    that recur in near copies of it and not beyond. Lines under `min_tokens` tokens stay, or with
+    `short_documents`, go where so many documents hold them. Lines without a token stay. Null texts stay null and have no lines; an
     empty text has one, which stays. Repeated rows are kept, and count as one document. Columns of
     `documents` that are named like the two new ones are replaced.
     """
-    lines = stored(line_table(documents, text=text, min_tokens=min_tokens, depth=depth), "lines")
-    doomed = stored(
-        recurring_lines(lines, min_documents=min_documents, similarity=similarity), "recurring"
-    )
-    dropped = (
-        lines.join(_bounded(doomed), "line")
+    least = min_tokens if short_documents is None else 1
+    lines = stored(line_table(documents, text=text, min_tokens=least, depth=depth), "lines")
+    long = F.col("tokens") >= min_tokens
+    doomed = recurring_lines(
+        lines.where(long), min_documents=min_documents, similarity=similarity
+    ).withColumn("needed", F.lit(min_documents))
+    if short_documents is not None:
+        short = short_lines(lines.where(~long), min_documents=short_documents)
+        doomed = doomed.unionByName(short.withColumn("needed", F.lit(short_documents)))
+    doomed = stored(doomed, "recurring")
+    gone = (
+        lines.join(_bounded(stored(doomed.select("line").distinct(), "doomed")), "line")
         .select("doc", "at", "tokens")
         .distinct()  # rows with the same text
-        .groupBy("doc")
-        .agg(F.collect_set("at").alias("_at"), F.sum("tokens").alias("_lost"))
     )
+
+    def by_document(gone: DataFrame) -> DataFrame:
+        return gone.groupBy("doc").agg(
+            F.collect_set("at").alias("_at"), F.sum("tokens").alias("_lost")
+        )
+
+    words = F.size(F.split(F.btrim(F.regexp_replace(text, f"[{SPACES}]+", " "), F.lit(" ")), " "))
+    light = 100 * F.col("_lost") <= round(100 * max_loss) * words
+    if judge_copies:
+        gone = stored(gone, "gone-lines")
+        heavy = (
+            documents.withColumn("doc", F.xxhash64(text))
+            .join(by_document(gone).drop("_at"), "doc")
+            .where(~light)
+            .select("doc")
+            .distinct()
+        )
+        heavy = stored(heavy, "heavy")
+        wide = _beyond_copies(documents, lines, doomed, heavy, text=text)
+        gone = gone.join(heavy, "doc", "left_anti").unionByName(wide)
+        light = F.lit(True)
+    dropped = by_document(gone)
     names = [n for n in documents.columns if n not in ("n_lines", "n_dropped")]
     whole = F.split(text, "\n")
-    words = F.size(F.split(F.btrim(F.regexp_replace(text, f"[{SPACES}]+", " "), F.lit(" ")), " "))
-    loses = F.when(
-        F.col("_lost").isNotNull(), 100 * F.col("_lost") <= round(100 * max_loss) * words
-    )
+    loses = F.when(F.col("_lost").isNotNull(), light)
     kept = F.array_join(
         F.filter(whole, lambda line, at: ~F.array_contains(F.col("_at"), at)), "\n"
     )

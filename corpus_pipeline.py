@@ -15,7 +15,7 @@ from commentscope.llm.common import stored, table
 from commentscope.llm.decontaminate import mark_leaks
 from commentscope.llm.jaccard import near_duplicate_groups
 from commentscope.llm.language import UNKNOWN, fit, identify
-from commentscope.llm.line_templates import drop_recurring_lines
+from commentscope.llm.line_templates import SHORT_DOCUMENTS, drop_recurring_lines
 from commentscope.llm.packing import pack_documents
 from commentscope.llm.queries import with_package
 
@@ -39,7 +39,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without their recurring lines; `n_chars` follows the text."""
-    cleaned = drop_recurring_lines(_packed(docs))
+    cleaned = drop_recurring_lines(
+        _packed(docs), short_documents=SHORT_DOCUMENTS, judge_copies=True
+    )
     row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
         chars = F.length("text").cast(dict(docs.dtypes)["n_chars"])

@@ -461,6 +461,24 @@ def test_two_templates_in_a_leaf(spark):
     assert got == {k: int(k < 6) for k, *_ in rows}
 
 
+def test_short_lines_and_carriers_in_the_pipeline(spark, sf_dir):
+    """Short lines of many texts go, boilerplate goes from texts that it fills, and of such texts
+    only lines that near copies hold stay."""
+    notice = "This notice stands at the end of all pages of the house"
+
+    def prose(name, n):
+        return " ".join(f"{name}{chr(97 + a)}{chr(97 + b)}" for a in range(n) for b in range(5))
+
+    rows = [f"{prose(f'own{chr(97 + k)}', 1)}\n{notice}\n\nShare this page" for k in range(12)]
+    copied = [prose(c, 4) for c in ("kilo", "lima", "mike")]
+    rows += ["\n".join([*copied, prose(f"end{chr(97 + k)}", 1)]) for k in range(6)]
+    rows += [prose("rare", 2) + "\nSay it twice", prose("seldom", 2) + "\nSay it twice"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_stage(spark, df, sf_dir).collect()}
+    wanted = [f"{rows[k].split(chr(10))[0]}\n" for k in range(12)] + rows[12:]
+    assert got == dict(enumerate(wanted))
+
+
 def test_line_dedup_odd(odd, none):
     assert line_templates.drop_recurring_lines(odd).count() == len(ODD_TEXTS)
     assert line_templates.drop_recurring_lines(none).count() == 0
