@@ -33,6 +33,9 @@ _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[ord("a") : ord("z") + 1] = _SYMBOL[ord("A") : ord("Z") + 1] = np.arange(1, 27)
 _SYMBOL[128:] = np.arange(27, SYMBOLS)
 
+# Bits a symbol that a text may cost beyond the labelled ones, which the model has learned from.
+SLACK = 1.0
+
 # The compiled costs of all languages are broadcast; more than this is refused.
 MAX_MODEL_BYTES = 256 << 20
 
@@ -145,9 +148,15 @@ def fit(documents: DataFrame, *, text: str = "text", label: str = "lang") -> Mod
 
 
 def identify(
-    documents: DataFrame, model: Model, *, text: str = "text", keep: list[str | Column]
+    documents: DataFrame,
+    model: Model,
+    *,
+    text: str = "text",
+    keep: list[str | Column],
+    bits: str | None = None,
 ) -> DataFrame:
-    """The columns `keep` of every row with `lang_pred` and `score`.
+    """The columns `keep` of every row with `lang_pred` and `score`, and a column named `bits`, if
+    asked for: bits a symbol under the winner, 0 for `und`.
 
     `score` is the share of the winner when code lengths are read as probabilities, 0 to 1; equal
     code lengths go to the first label. Texts that are null, empty or without a letter are `und`
@@ -160,7 +169,10 @@ def identify(
     )
     if not model.labels:
         return rows.drop("_letter", "_text").select(
-            "*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
+            "*",
+            F.lit(UNKNOWN).alias("lang_pred"),
+            F.lit(0.0).alias("score"),
+            *([F.lit(0.0).alias(bits)] if bits else []),
         )
     shared = documents.sparkSession.sparkContext.broadcast(model)
     names = rows.columns[:-2]
@@ -169,21 +181,56 @@ def identify(
         frozen = shared.value
         labels = np.array([*frozen.labels, UNKNOWN], dtype=object)
         for batch in steps(batches, "_text"):
-            bits = frozen.code_lengths(batch.column("_text"))
-            best = bits.argmin(axis=1)
-            share = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
+            lengths = frozen.code_lengths(batch.column("_text"))
+            best = lengths.argmin(axis=1)
+            least = lengths.min(axis=1)
+            share = 1 / np.exp2(least[:, None] - lengths).sum(axis=1)
+            symbols = np.diff(text_bytes(batch.column("_text"))[1]) if bits else 0
             letter = batch.column("_letter").to_numpy(zero_copy_only=False).astype(bool)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(n) for n in names],
                     pa.array(labels[np.where(letter, best, -1)].tolist(), pa.string()),
                     pa.array(np.where(letter, share, 0.0)),
+                    *([pa.array(least / np.maximum(symbols, 1))] if bits else []),
                 ],
-                [*names, "lang_pred", "score"],
+                [*names, "lang_pred", "score", *([bits] if bits else [])],
             )
 
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes[:-2])
-    return rows.mapInArrow(judge, f"{schema}, lang_pred string, score double")
+    more = f", `{bits}` double" if bits else ""
+    return rows.mapInArrow(judge, f"{schema}, lang_pred string, score double{more}")
+
+
+def length_class(text: str) -> Column:
+    """Binary order of magnitude of the number of symbols; null for null and empty texts."""
+    return F.floor(F.log2(F.octet_length(text))).cast("int")
+
+
+def bit_limits(
+    documents: DataFrame, model: Model, *, text: str = "text", label: str = "lang"
+) -> DataFrame:
+    """`lang_pred` and `limits`, an array of (class, bits): the most bits a symbol that labelled
+    texts of a length class cost where that language wins. One row a language."""
+    labelled = documents.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+    judged = identify(
+        labelled, model, text=text, keep=[length_class(text).alias("class")], bits="bits"
+    )
+    return (
+        judged.where(F.col("lang_pred") != UNKNOWN)
+        .groupBy("lang_pred", "class")
+        .agg(F.max("bits").alias("bits"))
+        .groupBy("lang_pred")
+        .agg(F.collect_list(F.struct("class", "bits")).alias("limits"))
+    )
+
+
+def within_limits(text: str, bits: str) -> Column:
+    """Whether a text costs at most `SLACK` bits a symbol more than labelled ones of its length, or
+    where there are none of it, of the next shorter length that there are. A text shorter than all
+    labelled ones is not judged."""
+    shorter = F.filter("limits", lambda limit: limit["class"] <= length_class(text))
+    return F.coalesce(F.col(bits) <= F.array_max(shorter)["bits"] + SLACK, F.lit(True))
 
 
 def fold(key: str = "doc_id") -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from commentscope.llm.common import stored, table
 from commentscope.llm.decontaminate import mark_leaks
 from commentscope.llm.jaccard import near_duplicate_groups
-from commentscope.llm.language import UNKNOWN, fit, identify
+from commentscope.llm.language import UNKNOWN, bit_limits, fit, identify, within_limits
 from commentscope.llm.line_templates import SHORT_DOCUMENTS, drop_recurring_lines
 from commentscope.llm.packing import pack_documents
 from commentscope.llm.queries import with_package
@@ -31,10 +31,18 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language of the labelled ones; texts without a letter go."""
-    judged = identify(_packed(docs), fit(docs), keep=["row"])
+    """Documents in a language of the labelled ones. Texts without a letter go, and texts that cost
+    clearly more bits a symbol than all labelled texts of their length."""
+    model = fit(docs)
+    judged = identify(_packed(docs), model, keep=["row"], bits="bits")
     clear = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)
-    return judged.where(clear).select("row.*")
+    limits = F.broadcast(bit_limits(docs, model))
+    return (
+        judged.where(clear)
+        .join(limits, "lang_pred", "left")
+        .where(within_limits("row.text", "bits"))
+        .select("row.*")
+    )
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -359,6 +359,21 @@ def test_language_odd(spark, odd, none):
     assert language.identify(none, model, keep=["doc_id"]).count() == 0
 
 
+def test_unlearned_languages_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. ",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. ",
+        "xq zvkw jjqp wxz qqk vvbz kxj zpqw ",
+    ]
+    rows = [(-1 - k, t * n, None) for k, (t, n) in enumerate((t, n) for t in foreign for n in (2, 40))]
+    known = docs.where("length(text) > 400").orderBy("doc_id").limit(40).collect()
+    rows += [(-100 - r["doc_id"], r["text"][:60], None) for r in known]
+    more = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, more, sf_dir).collect()}
+    assert {k for k in kept if k < 0} == {k for k, *_ in rows if k <= -100}
+
+
 # --- 7 -------------------------------------------------------------------------------------
 
 
