@@ -174,6 +174,27 @@ def test_pieces_have_the_ids_of_the_whole_text():
         assert np.frombuffer(fast.encode(text), "<u4").tolist() == ids, text
 
 
+def test_added_tokens_have_their_ids():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    fast = packing.PieceTokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), packing.added_tokens(path))
+    slow = Tokenizer.from_file(path)
+    draw = random.Random(7)
+    parts = ["<|endoftext|>", "a", " b", "It's", " ", "  ", "\n", "\n\n", "\t", "\u3000", ".", "12", "<|", "endoftext|>"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", ""]
+    texts += ["".join(draw.choices(parts, k=10)) for _ in range(3000)]
+    for text in texts:
+        ids = slow.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(fast.encode(text), "<u4").tolist() == ids, text
+
+
+def test_packed_documents_hold_added_tokens(spark):
+    text = "a <|endoftext|> b"
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    ids = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    (row,) = packing.pack_documents(spark, df).collect()
+    assert (row["doc_tokens"], row["ids_crc32"]) == (len(ids) + 1, zlib.crc32(np.array([*ids, 1], "<u4").tobytes()))
+
+
 def test_best_fit_takes_the_tightest_window():
     draw = random.Random(1)
     lengths = np.array(sorted((draw.randint(1, 64) for _ in range(500)), reverse=True))
