@@ -36,7 +36,7 @@ IDENTIFIER = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 ENDPOINT = re.compile(r"\b[a-z][a-z0-9+.-]*://[^\s\"'<>]+", re.ASCII)
-MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])")
+MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 WEAK_KINDS = ("identifier", "weak_secret", "endpoint")
 KINDS = BASE_KINDS + WEAK_KINDS
 

@@ -410,6 +410,15 @@ def test_secrets():
     assert secrets.linked_spans("client_id: me42\n" + "far \n" * 200 + weak, []) == []
 
 
+@pytest.mark.parametrize("length", [24, 128, 129, 400, 5000])
+def test_long_tokens_are_candidates(length):
+    token = ("aB3dE6gH9jK2mN5pQ8sT1vW4" * length)[:length]
+    near = f"client_id: me42\n{token}\nhttps://api.example.com/v1"
+    found = {secrets.KINDS[s.kind]: near[s.start : s.end] for s in secrets.linked_spans(near, [])}
+    assert found["weak_secret"] == token and set(found) == {"identifier", "weak_secret", "endpoint"}
+    assert secrets.linked_spans(token, []) == []
+
+
 def test_secrets_odd(odd, none):
     rows = secrets.scan_secrets(odd).collect()
     assert len(rows) == len(ODD_TEXTS) and not any(r["spans"] for r in rows)
