@@ -2,9 +2,10 @@
 
 Method: surrogate generation. Emails, phone and card numbers, IPv4 addresses, IBANs, social
 security numbers and names behind a form of address are found and replaced by values of the same
-type, script and format, names by names of the same gender. A surrogate depends on the key, the
-type and the entity alone, so an entity has the same surrogate everywhere (coreference), on every
-executor and in every run. Distinct entities get distinct surrogates by construction: the
+type, script and format, given names by names of the gender that a list or the form of address
+tells. Parts of such a name elsewhere in its text are replaced as in the name. A surrogate depends
+on the key, the type, the entity and a told gender alone, so an entity has the same surrogate everywhere (coreference), however a number is
+parted, on every executor and in every run. Family names keep no gender. Distinct entities get distinct surrogates by construction: the
 characters of a format are permuted as one mixed-radix number by a keyed Feistel network, which is
 a bijection. `collisions` checks the surrogates of all entities in the corpus, and
 `replace_personal_data` raises where it finds one.
@@ -51,6 +52,11 @@ _GROUPS = [
     "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
     "٠١٢٣٤٥٦٧٨٩",
 ]
+# Calling codes of countries: one digit in two zones, two or three in the others.
+CALLING_CODE = re.compile(
+    r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+)
+
 _GROUP_OF = {c: g for g in _GROUPS for c in g}
 
 # --- detection -----------------------------------------------------------------------------
@@ -104,7 +110,7 @@ class Surrogates:
     def __init__(self, key: bytes):
         self._key = key
 
-    def _number(self, tweak: str, step: int, value: int, below: int) -> int:
+    def _number(self, tweak: str, step: int, value: int | str, below: int) -> int:
         message = f"{tweak}\0{step}\0{value}".encode()
         return int.from_bytes(hmac.digest(self._key, message, "sha256")) % below
 
@@ -156,20 +162,24 @@ class Surrogates:
 
     def card(self, text: str) -> str:
         """The last digit keeps its distance from the check digit, so valid numbers stay valid."""
-        off = (int(text[-1]) - _luhn(text[:-1])) % 10
-        body = self._characters(text[:-1], "card")
-        return f"{body}{(_luhn(body) + off) % 10}"
+        plain = normal("card", text)
+        off = (int(plain[-1]) - _luhn(plain[:-1])) % 10
+        body = self._characters(plain[:-1], "card")
+        return _written_like(text, f"{body}{(_luhn(body) + off) % 10}")
 
     def iban(self, text: str) -> str:
-        off = (int(text[2:4]) - _iban_check(text)) % 97
-        body = self._characters(text[4:], f"iban\0{text[:2]}")
-        check = _iban_check(f"{text[:2]}00{body}")
-        return f"{text[:2]}{(check + off) % 97:02d}{body}"
+        plain = normal("iban", text)
+        off = (int(plain[2:4]) - _iban_check(plain)) % 97
+        body = self._characters(plain[4:], f"iban\0{plain[:2]}")
+        check = _iban_check(f"{plain[:2]}00{body}")
+        return _written_like(text, f"{plain[:2]}{(check + off) % 97:02d}{body}")
 
     def phone(self, text: str) -> str:
-        country = re.match(r"\+[0-9]{1,3}(?=[ .(-])", text)
-        head = country[0] if country else ""
-        return head + self._characters(text[len(head) :], f"phone\0{head}")
+        """The calling code stays, whether it stands apart or not."""
+        plain = normal("phone", text)
+        head = CALLING_CODE.match(plain)[0] if plain[0] == "+" else ""
+        rest = self._characters(plain[len(head) :], f"phone\0{head}")
+        return _written_like(text, head.removeprefix("+") + rest)
 
     def ssn(self, text: str) -> str:
         return self._characters(text, "ssn")
@@ -184,11 +194,18 @@ class Surrogates:
 
     def name(self, text: str, gender: str) -> str:
         """Parts one by one, so a family name alone has the surrogate it has in the full name.
-        A given name of the lists becomes one of the same gender and script."""
+        A given name of the lists becomes one of the same gender and script. Another one, whose
+        gender the form of address tells, becomes a listed name of that gender and its own
+        script, joined to a surrogate that tells it from others."""
         first, *rest = text.split(" ")
         listed = next((n for n in GIVEN_NAMES.values() if rest and first in n), None)
         every = {n for names in GIVEN_NAMES.values() for n in names}
-        parts = [self._name_part(first, listed, every, "name")]
+        if gender := told_gender(text, gender):
+            names = GIVEN_NAMES[gender, _script(first)]
+            own = self._characters(first, f"name\0{gender}")
+            parts = [f"{names[self._number('given', 0, own, len(names))]}-{own}"]
+        else:
+            parts = [self._name_part(first, listed, every, "name")]
         return " ".join([*parts, *[self._name_part(p, None, set(), "name") for p in rest]])
 
     def of(self, kind: str, text: str, gender: str = "") -> str:
@@ -211,10 +228,73 @@ def _iban_check(text: str) -> int:
 
 
 def normal(kind: str, text: str) -> str:
-    """The form under which mentions are the same entity."""
+    """The form under which mentions are the same entity: numbers without separators."""
+    if kind in ("card", "iban", "phone"):
+        return re.sub("[^0-9A-Z+]", "", text)
     return text.lower() if kind == "email" else text
 
 
+def _written_like(text: str, plain: str) -> str:
+    """`plain` with the separators of `text`, which has as many letters and digits."""
+    left = iter(plain)
+    return "".join(next(left) if c.isalnum() else c for c in text)
+
+
+def _script(name: str) -> str:
+    group = _GROUP_OF.get(name[0])
+    return {_GROUPS[2]: "latin", _GROUPS[4]: "latin", _GROUPS[6]: "cyrillic"}.get(group, "")
+
+
+def told_gender(name: str, gender: str) -> str:
+    """`gender` if a given name needs it: one that is in no list of that gender."""
+    first, *rest = name.split(" ")
+    if not gender or not rest or not _script(first):
+        return ""
+    return "" if first in GIVEN_NAMES[gender, _script(first)] else gender
+
+
+def mentions(text: str, surrogates: Surrogates) -> list[tuple[int, int, str, str, str | None]]:
+    """(start, end, type, surrogate, entity) of all entities by start, and of all other places
+    that have a part of a found name, whose entity is None.
+
+    A name whose form of address tells no gender has the one that other mentions of the same name
+    or family name in the text agree on.
+    """
+    found = entities(text)
+    named = [(text[s:e], g) for s, e, kind, g in found if kind == "name"]
+    genders: dict[str, set[str]] = {}
+    for name, gender in named:
+        if gender:
+            for known in (name, name.split(" ")[-1]):
+                genders.setdefault(known, set()).add(gender)
+    out, parts = [], {}
+    for start, end, kind, gender in found:
+        value = text[start:end]
+        entity = normal(kind, value)
+        if kind == "name":
+            told = genders.get(value) or genders.get(value.split(" ")[-1]) or set()
+            if not gender and len(told) == 1:
+                (gender,) = told
+            # The gender is part of the entity where its surrogate depends on it.
+            told_here = told_gender(value, gender)
+            entity = f"{value} ({told_here})" if told_here else value
+        new = surrogates.of(kind, value, gender)
+        out.append((start, end, kind, new, entity))
+        if kind == "name":
+            for part, own in zip(value.split(" "), new.split(" ")):
+                parts.setdefault(part, own)
+    if parts:
+        longest = sorted(parts, key=len, reverse=True)
+        bare = re.compile(rf"\b(?:{'|'.join(map(re.escape, longest))})\b")
+        taken = bytearray(len(text))
+        for start, end, *_ in out:
+            taken[start:end] = b"\1" * (end - start)
+        for m in bare.finditer(text):
+            if not any(taken[m.start() : m.end()]):
+                out.append((*m.span(), "name", parts[m[0]], None))
+    return sorted(out, key=lambda row: row[:2])
+
+
 # --- Spark ---------------------------------------------------------------------------------
 
 DEFAULT_KEY = b"replace this key and keep it secret"
@@ -230,9 +310,9 @@ def surrogate_table(
         for batch in steps(batches, "text"):
             rows = set()
             for value in batch.column("text").to_pylist():
-                for start, end, kind, gender in entities(value or ""):
-                    entity = normal(kind, value[start:end])
-                    rows.add((kind, entity, surrogates.of(kind, entity, gender)))
+                for _, _, kind, new, entity in mentions(value or "", surrogates):
+                    if entity is not None:
+                        rows.add((kind, entity, normal(kind, new)))
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(("type", "entity", "surrogate"), row)) for row in sorted(rows)],
                 pa.schema([(n, pa.string()) for n in ("type", "entity", "surrogate")]),
@@ -283,8 +363,7 @@ def replace_personal_data(
             texts, found = [], []
             for value in batch.column(text).to_pylist():
                 rows, parts, done = [], [], 0
-                for start, end, kind, gender in entities(value or ""):
-                    new = surrogates.of(kind, normal(kind, value[start:end]), gender)
+                for start, end, kind, new, _ in mentions(value or "", surrogates):
                     parts += [value[done:start], new]
                     done = end
                     rows.append({"type": kind, "start": start, "end": end, "surrogate": new})

@@ -549,6 +549,43 @@ def test_surrogates_are_distinct_and_keep_their_format():
     assert len({s.name(f"{g} X", "m") for g in given}) == len(given)
 
 
+def test_names_by_gender_and_without_title(spark):
+    texts = [
+        "Dr Anna Keller came. Keller said that Anna was late; Kellerman was not. Call Mrs Keller.",
+        "Ms Brigitte Keller wrote, and Brigitte Keller signed. Dr Brigitte Keller agreed.",
+        "Mr Brigitte Keller wrote.", "Dr Brigitte Keller wrote.", "Mr Anna Keller wrote.", "Г Господин Жан Петров",
+        "Dr Ζήνων Παππάς", "Ms Ζήνων Παππάς",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    new = {r["doc_id"]: r["text"] for r in pii.replace_personal_data(df).collect()}
+    given, family = re.match(r"Dr (\S+) (\S+) came", new[0]).groups()
+    assert given in pii.GIVEN_NAMES["f", "latin"]
+    assert new[0] == f"Dr {given} {family} came. {family} said that {given} was late; Kellerman was not. Call Mrs {family}."
+    first, last = re.match(r"Ms (\S+) (\S+) wrote", new[1]).groups()
+    assert last == family and first.split("-")[0] in pii.GIVEN_NAMES["f", "latin"]
+    assert new[1] == f"Ms {first} {last} wrote, and {first} {last} signed. Dr {first} {last} agreed."
+    assert all(new[k].split(" ")[1].split("-")[0] in pii.GIVEN_NAMES["m", "latin"] for k in (2, 4))
+    assert new[5].split(" ")[2].split("-")[0] in pii.GIVEN_NAMES["m", "cyrillic"]
+
+
+@pytest.mark.parametrize(
+    "kind, written",
+    [
+        ("phone", ["+1 (555) 010-2345", "+1 555 010 2345", "+15550102345"]),
+        ("phone", ["030 123 4567", "030-123-4567"]),
+        ("card", ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111"]),
+        ("iban", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00"]),
+    ],
+)
+def test_numbers_have_one_surrogate_however_written(spark, kind, written):
+    s = pii.Surrogates(b"key")
+    new = [s.of(kind, w) for w in written]
+    assert len({pii.normal(kind, n) for n in new}) == 1
+    assert [re.sub("[0-9A-Z]", "x", n) for n in new] == [re.sub("[0-9A-Z]", "x", w) for w in written]
+    df = spark.createDataFrame([(f"at {w} now",) for w in written], "text string")
+    assert pii.replace_personal_data(df).where("size(entities) = 1").count() == len(written)
+
+
 def test_personal_data_is_gone(spark, sf_dir, texts):
     rows = QUERIES["op10_pii"](spark, sf_dir).collect()
     found = 0
