@@ -1,7 +1,10 @@
 """Op 8, suffix-array dedup: bytes in repeated strings of at least `length` bytes are removed.
 
-Method: per-shard suffix arrays by Larsson-Sadakane refinement in numpy, Kasai common prefixes,
-and a merge across shards by binary search.
+Method: per-shard suffix arrays by Larsson-Sadakane refinement in numpy and Kasai common prefixes.
+There is no merge of suffix arrays across shards by binary search: anchors, which bring all equal
+windows into one shard beforehand, and halving, where an anchor is too large for one, replace it.
+A merge would need the suffixes of all bytes in sorted shards; so only pieces that differ around an
+equal anchor are sorted at all, and pieces that are equal by their hashes are not.
 
 * Every window of `length` bytes belongs to its anchor, the leftmost of its shingles of
   `ANCHOR` bytes with the least hash. Windows in a row with the same anchor are a piece. Equal
