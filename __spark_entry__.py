@@ -31,7 +31,6 @@ from commentscope.sinks import (  # noqa: E402
 from commentscope.sources import (  # noqa: E402
     land_raw,
     read_comments_csv,
-    read_comments_csv_split,
     read_result,
 )
 from commentscope.storage import new_dir  # noqa: E402
@@ -112,11 +111,15 @@ def _topics(comments: DataFrame) -> DataFrame:
 
 # --- files and tables --------------------------------------------------------------------
 
+# Files of a large dataset: Spark's CSV reader takes one task for each.
+CSV_FILES = 16
 
-def _raw_csv(spark: SparkSession, sf_dir: str) -> str:
-    """The comments as a raw CSV folder with the dotted header."""
+
+def _raw_csv(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """The comments as a raw CSV folder with the dotted header, in `files` files if given."""
     path = new_dir(spark, "raw-csv")
-    write_result(_comments(spark, sf_dir).toDF(*RAW_HEADER), path, fmt="csv")
+    comments = _comments(spark, sf_dir).toDF(*RAW_HEADER)
+    write_result(comments.repartition(files, "id") if files else comments, path, fmt="csv")
     return path
 
 
@@ -129,7 +132,7 @@ def _csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hashed(read_comments_csv_split(spark, _raw_csv(spark, sf_dir)))
+    return _hashed(read_comments_csv(spark, _raw_csv(spark, sf_dir, CSV_FILES)))
 
 
 def _dataset_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,8 +147,8 @@ def _dataset_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw_csv(spark, sf_dir)
-    return _landed_days(land_raw(spark, raw, new_dir(spark, "bronze"), split=True))
+    raw = _raw_csv(spark, sf_dir, CSV_FILES)
+    return _landed_days(land_raw(spark, raw, new_dir(spark, "bronze")))
 
 
 def _landed_days(landed: DataFrame) -> DataFrame:

@@ -295,3 +295,20 @@ def test_surrogate_ids_of_published_results(spark, database, make_comments):
     results = {"validacion_sentimiento": O.sentiment_check(make_comments([{"score": 1}]))}
     publish_results(spark, results, table_writer(database), surrogate_id=True)
     assert spark.table(f"{database}.validacion_sentimiento").columns[0] == "row_id"
+
+
+@pytest.mark.parametrize("name", ["csv_scan_split", "bronze_landing"])
+def test_large_datasets_are_many_files_for_the_csv_reader(spark, sf_dir, monkeypatch, name):
+    import __spark_entry__ as entry
+    from commentscope.sources import comments
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("the record splitter was asked")
+
+    for module in (entry, comments):
+        monkeypatch.setattr(module, "read_comments_csv_split", refuse, raising=False)
+    folders = []
+    raw = entry._raw_csv
+    monkeypatch.setattr(entry, "_raw_csv", lambda *a: folders.append(raw(*a)) or folders[-1])
+    assert entry.queries()[name](spark, sf_dir).count() > 0
+    assert len(spark.read.text(folders[0]).inputFiles()) > 1
