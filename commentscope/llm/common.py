@@ -55,6 +55,13 @@ def steps(
             first = last
 
 
+def even_steps(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Like `steps`, but a batch is cut into parts of about equal size, none much over `limit`."""
+    for batch in batches:
+        size = pc.sum(pc.binary_length(batch.column(column))).as_py() or 1
+        yield from steps(iter([batch]), column, size // -(-size // limit) + 1)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string array, one text after another, and where each text starts and the
     last one ends. Null texts are empty."""
@@ -181,3 +188,77 @@ class Words:
         merged = np.insert(runs[kept], first[short], whole)
         per_text[short] = 1
         return merged, np.concatenate([[0], np.cumsum(per_text)])
+
+
+# --- exact words -----------------------------------------------------------------------------
+
+
+class Spans:
+    """Words of a few texts, kept as they are: `bytes` of all words without what parts them,
+    `offsets` where each word starts in it, and `first`, where the words of each text start, with
+    the number of all words at the end. `inside` marks the bytes that belong to words."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray):
+        border = np.zeros(len(data) + 1, bool)
+        border[offsets] = True
+        outside = np.append(True, ~inside) | border
+        starts = np.flatnonzero(inside & outside[:-1])
+        outside[:-1] = ~inside
+        outside[-1] = True
+        ends = np.flatnonzero(inside & (outside | border)[1:])
+        self.first = np.searchsorted(starts, offsets)
+        self.bytes = data[inside]
+        self.offsets = np.append(0, np.cumsum(ends + 1 - starts))
+
+    def __len__(self) -> int:
+        return len(self.offsets) - 1
+
+    def texts(self) -> np.ndarray:
+        """The text of each word."""
+        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+
+    def array(self) -> pa.Array:
+        """The words as byte strings."""
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(self), [None, pa.py_buffer(self.offsets), pa.py_buffer(self.bytes)]
+        )
+
+    def coded(self) -> tuple[np.ndarray, pa.Array]:
+        """A number for each word, equal for equal words, and the distinct words by number."""
+        coded = self.array().dictionary_encode()
+        return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def words_of(texts: pa.Array, *, lower: bool = False) -> Spans:
+    """Runs of bytes other than space and 0x09-0x0D; `lower` lowers A-Z. Null texts are empty."""
+    data, offsets = text_bytes(texts)
+    if lower:
+        data = _LOWER[data]
+    return Spans(data, offsets, ~_IS_SPACE[data])
+
+
+def letters_of(texts: pa.Array) -> Spans:
+    """Runs of A-Z, a-z and U+00C0 to U+00FF with A-Z lowered. Null texts have none."""
+    data, offsets = text_bytes(texts)
+    data = _LOWER[data]
+    # In UTF-8, U+00C0 to U+00FF are the byte C3 and any byte that may follow it.
+    leads = data == 0xC3
+    inside = (data >= ord("a")) & (data <= ord("z")) | leads
+    inside[1:] |= leads[:-1]
+    return Spans(data, offsets, inside)
+
+
+def code_points(words: pa.Array) -> np.ndarray:
+    """Code points of each of some non-empty words, given as byte strings."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    data, offsets = text_bytes_of_binary(words)
+    return np.add.reduceat(((data & 0xC0) != 0x80).astype(np.int64), offsets[:-1])
+
+
+def text_bytes_of_binary(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of an array of large byte strings, and where each starts and the last one ends."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontaminate,
+    gated_lm,
     jaccard,
     language,
     line_templates,
     packing,
+    periodic,
     pii,
     quality,
     secrets,
+    spelling,
     suffix_dedup,
     url_filter,
 )
@@ -46,6 +49,9 @@ _QUERIES = {
     "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_line_dedup": line_templates.op9_line_dedup,
     "op10_pii": pii.op10_pii,
+    "op11_lm_scoring": gated_lm.op11_lm_scoring,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 
 QUERIES: dict[str, Query] = {name: with_package(query) for name, query in _QUERIES.items()}
