@@ -188,68 +188,52 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _pieces(batches):
         keys = Reduced(batch.column("word").cast(pa.large_binary())).own()
-        yield pa.RecordBatch.from_arrays([pa.array(keys), *batch.columns], ["key", *batch.schema.names])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("name")], ["key", "name"])
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _pieces(batches):
         reduced = Reduced(batch.column("word").cast(pa.large_binary()))
-        carried = batch.select(["id", "carried", "n"])
-        itself = (np.arange(batch.num_rows), reduced.own(), True)
-        for owner, keys, same in chain([itself], ((*x, False) for x in reduced.neighbours())):
+        itself = (np.arange(batch.num_rows), reduced.own())
+        for owner, keys in chain([itself], reduced.neighbours()):
             for at in range(0, len(keys), CHUNK):
-                rows = carried.take(pa.array(owner[at : at + CHUNK]))
-                equal = pa.array(np.full(rows.num_rows, same))
+                names = batch.column("name").take(pa.array(owner[at : at + CHUNK]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at : at + CHUNK]), equal, *rows.columns],
-                    ["key", "same", *rows.schema.names],
+                    [pa.array(keys[at : at + CHUNK]), names], ["key", "name"]
                 )
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """`id`, `near_id`, `near_word`, `near_n` for both directions of each pair of words that
-    differ by exactly one inserted, deleted or replaced code point. `words` is a stored table of
-    distinct `word`s, not null, with a number `id` and a count `n`."""
-    carried = F.when(F.length("word") <= CARRIED, F.col("word")).alias("carried")
-    rows = words.select("word", carried, "id", "n")
-    kinds = "id bigint, carried string, n bigint"
-    left = rows.mapInArrow(_neighbours, f"key bigint, same boolean, {kinds}")
-    right = rows.mapInArrow(_reduced, "key bigint, word string, carried string, id bigint, n bigint")
-    right = right.select("key", F.struct("id", "carried", "n").alias("b"))
-    left = left.select("key", "same", F.struct("id", "carried", "n").alias("a"))
-    one_edit = F.levenshtein("a.carried", "b.carried", 1) == 1
-    long = F.col("a.carried").isNull() | F.col("b.carried").isNull()
-    # Equal reduced words meet twice, once from each side, and a word meets itself.
-    once = ~F.col("same") | (F.col("a.id") < F.col("b.id"))
-    met = left.join(right, "key").where(once & F.coalesce(one_edit, long)).select("a", "b", long.alias("long"))
-    # A pair with a long word is verified where both words can be looked up by number.
-    lookup = words.select(F.col("id"), F.col("word"))
-    spelt = (
-        met.where("long")
-        .select("a", "b")
-        .join(lookup.select(F.col("id").alias("a_id"), F.col("word").alias("a_word")), F.col("a.id") == F.col("a_id"))
-        .join(lookup.select(F.col("id").alias("b_id"), F.col("word").alias("b_word")), F.col("b.id") == F.col("b_id"))
-        .where(F.levenshtein("a_word", "b_word", 1) == 1)
-        .select(
-            F.struct("a.id", F.col("a_word").alias("word"), "a.n").alias("a"),
-            F.struct("b.id", F.col("b_word").alias("word"), "b.n").alias("b"),
-        )
-    )
-    short = met.where(~F.col("long")).select(
-        F.struct("a.id", F.col("a.carried").alias("word"), "a.n").alias("a"),
-        F.struct("b.id", F.col("b.carried").alias("word"), "b.n").alias("b"),
+    """`word`, `near` for both directions of each pair of words that differ by exactly one inserted,
+    deleted or replaced code point. `words` is a stored table of distinct `word`s, not null, with a
+    number `id`."""
+    # A long word travels by its number, behind a sign that no word holds.
+    name = F.when(F.length("word") <= CARRIED, F.col("word")).otherwise(F.concat(F.lit("#"), "id"))
+    rows = words.select("word", name.alias("name"))
+    left = rows.mapInArrow(_neighbours, "key bigint, name string").withColumnRenamed("name", "a")
+    right = rows.mapInArrow(_reduced, "key bigint, name string").withColumnRenamed("name", "b")
+    long = F.col("a").startswith("#") | F.col("b").startswith("#")
+    met = stored(
+        left.join(right, "key")
+        .where(F.when(long, F.col("a") != F.col("b")).otherwise(F.levenshtein("a", "b", 1) == 1))
+        # Words with equal reduced words meet from both sides.
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct(),
+        "pairs",
     )
-    both = F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    return (
-        short.unionByName(spelt)
-        .select(both)
-        .select(
-            F.col("a.id").alias("id"),
-            F.col("b.id").alias("near_id"),
-            F.col("b.word").alias("near_word"),
-            F.col("b.n").alias("near_n"),
+    # A pair with a long word is verified where both words are looked up by number.
+    spelt = met.where(long)
+    for side in ("a", "b"):
+        looked_up = rows.where(F.col("name").startswith("#")).select(
+            F.col("name").alias(side), F.col("word").alias(f"{side}_word")
         )
+        spelt = spelt.join(looked_up, side, "left").withColumn(side, F.coalesce(f"{side}_word", side))
+    spelt = spelt.where(F.levenshtein("a", "b", 1) == 1).select("a", "b")
+    both = F.array(
+        F.struct(F.col("a").alias("word"), F.col("b").alias("near")),
+        F.struct(F.col("b").alias("word"), F.col("a").alias("near")),
     )
+    return met.where(~long).unionByName(spelt).select(F.inline(both))
 
 
 def _roots(links: DataFrame) -> DataFrame:
@@ -278,11 +262,16 @@ def group_variants(counts: DataFrame, *, min_count: int = MIN_COUNT) -> DataFram
     """
     words = counts.where(F.col("word").isNotNull() & (F.col("n") >= min_count)).select("word", "n")
     words = stored(words.withColumn("id", F.monotonically_increasing_id()), "words")
-    best = F.struct((-F.col("near_n")).alias("less"), F.col("near_word").alias("word"))
-    near = near_words(words).groupBy("id").agg(F.count("*").alias("n_near"), F.min(best).alias("best"))
+    best = F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("word"))
+    near = (
+        near_words(words)
+        .join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+        .groupBy("word")
+        .agg(F.count("*").alias("n_near"), F.min(best).alias("best"))
+    )
     big = -F.col("best.less") >= 2 * F.col("n")
     found = stored(
-        words.join(near, "id", "left").select(
+        words.join(near, "word", "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0)).alias("n_near"),
