@@ -32,8 +32,8 @@ from .common import even_steps, shuffle_partitions, stored, table, text_bytes_of
 # Bounds of the model: words that are broadcast with their counts, words that the network tells
 # apart, their classes, and units.
 LISTED = 1 << 16
-NETWORK_WORDS = 2048
-FREQUENCY_CLASSES = 32
+NETWORK_WORDS = 1024
+FREQUENCY_CLASSES = 24
 UNITS = 16
 
 # Shape classes: by length in bytes, up to each of these or beyond, and by what else than letters
@@ -49,7 +49,7 @@ WINDOW = 32
 RATE = 0.1
 
 # Text bytes that a task holds at once, and weights in a block.
-STEP = 16 << 20
+STEP = 12 << 20
 BLOCK = 1 << 12
 
 # The end of a text, which is no word, for words hold no space.
@@ -279,9 +279,10 @@ class Network:
         for t in range(len(symbols) - 1, -1, -1):
             keep, reset, new, own_new = trace[t]
             state = before[t]
-            to_new = to_state * (1 - keep) * (1 - new * new)
+            open_ = to_state * (1 - keep)
+            to_new = open_ * (1 - new * new)
             step = to_inputs[t]
-            step[:, :UNITS] = to_state * (state - new) * keep * (1 - keep)
+            step[:, :UNITS] = open_ * (state - new) * keep
             step[:, UNITS : 2 * UNITS] = to_new * own_new * reset * (1 - reset)
             step[:, 2 * UNITS :] = to_new
             to_own = step.copy()
@@ -312,9 +313,10 @@ def lanes(first: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     length, lane = np.sort(length)[::-1], rank[lane]
     by_lane = np.argsort(lane, kind="stable")
     texts = order[by_lane]
-    tokens_ = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes[texts]) - sizes[texts], sizes[texts])
-    place = tokens_ + np.repeat(first[:-1][texts], sizes[texts])
-    opens = tokens_ == 0
+    opens = np.zeros(int(sizes.sum()), bool)
+    opens[np.cumsum(sizes[texts]) - sizes[texts]] = True
+    shift = first[:-1][texts] - (np.cumsum(sizes[texts]) - sizes[texts])
+    place = (np.arange(len(opens)) + np.repeat(shift, sizes[texts])).astype(np.int32)
     begins = np.cumsum(length) - length
     windows = []
     for at in range(0, int(length.max(initial=0)), WINDOW):
@@ -333,7 +335,7 @@ def train(network: Network, batches: Iterator[pa.RecordBatch]) -> int:
     for batch in even_steps(batches, "text", STEP):
         codes, first, distinct = tokens(batch.column("text"))
         _, symbol, group = network.words.look_up(distinct)
-        symbol, group = symbol[codes], group[codes]
+        symbol, group = symbol.astype(np.int32)[codes], group.astype(np.int32)[codes]
         read += len(codes)
         state = np.zeros((LANES, UNITS), np.float32)
         for place, opens, held in lanes(first):
