@@ -42,10 +42,12 @@ _LENGTHS = np.array([3, 5, 7, 9, 12, 16])
 SHAPES = 2 * (len(_LENGTHS) + 1)
 
 # Training: passes over parts of the documents, lanes read side by side, words that gradients go
-# back through, and step size.
+# back through, words after which training (not scoring) starts from an empty state again, so that
+# a long text does not hold up the other lanes, and step size.
 ROUNDS = 2
 LANES = 256
 WINDOW = 32
+SPAN = 4096
 RATE = 0.1
 
 # Text bytes that a task holds at once, and weights in a block.
@@ -338,7 +340,8 @@ def train(network: Network, batches: Iterator[pa.RecordBatch]) -> int:
         symbol, group = symbol.astype(np.int32)[codes], group.astype(np.int32)[codes]
         read += len(codes)
         state = np.zeros((LANES, UNITS), np.float32)
-        for place, opens, held in lanes(first):
+        spans = [np.arange(a, b, SPAN) for a, b in zip(first[:-1], first[1:])]
+        for place, opens, held in lanes(np.concatenate([*spans, first[-1:]])):
             state = state[: place.shape[1]]
             symbols, trace = symbol[place], []
             before, state = network.read(symbols, opens, state, trace)
