@@ -16,7 +16,7 @@ from commentscope import fixtures  # noqa: E402
 from commentscope import operators as O  # noqa: E402
 from commentscope.functions.text import clean_text  # noqa: E402
 from commentscope.plans.full_run import (  # noqa: E402
-    register_result_views,
+    publish_run,
     run_reports,
     stored_results,
 )
@@ -25,10 +25,11 @@ from commentscope.schemas import RAW_HEADER, conform, violations  # noqa: E402
 from commentscope.sinks import (  # noqa: E402
     clean_for_serving,
     publish_results,
-    table_writer,
+    version_writer,
     write_result,
 )
 from commentscope.sources import (  # noqa: E402
+    land_checked,
     land_raw,
     read_comments_csv,
     read_result,
@@ -222,27 +223,123 @@ def _full_run_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _published_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = stored_results(spark, _full_run(spark, sf_dir))
+def _row_text(df: DataFrame) -> Column:
+    """A row as text that both engines write alike: doubles to six places, times without zone."""
+    kinds = dict(df.dtypes)
+
+    def text(name: str) -> Column:
+        value = F.col(name)
+        if kinds[name] == "double":
+            value = _places(value).cast("decimal(20,6)")
+        if kinds[name] == "timestamp":
+            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        return F.coalesce(value.cast("string"), F.lit("-"))
+
+    return F.concat_ws("|", *[text(name) for name in df.columns]).alias("row_text")
+
+
+def _new_database(spark: SparkSession) -> str:
     location = new_dir(spark, "serving")
     database = "serving_" + location.rsplit("-", 1)[-1]
     spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
-    status = publish_results(spark, results, table_writer(database))
-    counts = _union(
-        [
-            spark.table(f"{database}.{table}").agg(
-                F.lit(table).alias("table"), F.count("*").alias("rows_in_table")
-            )
-            for table in results
-        ]
+    return database
+
+
+def _published_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of all tables, of which one half grows by appending, after a run was published
+    twice."""
+    results = stored_results(spark, _full_run(spark, sf_dir))
+    database = _new_database(spark)
+    modes = {table: "append" for table in list(results)[::2]}
+    for _ in range(2):
+        status = publish_results(
+            spark, results, version_writer(database, "comments"), modes=modes
+        )
+    tables = [spark.table(f"{database}.{table}") for table in results]
+    rows = _union(
+        [df.select(F.lit(t).alias("table"), _row_text(df)) for t, df in zip(results, tables)]
     )
-    return counts.join(status, "table").select("table", "status", "rows", "rows_in_table")
+    return rows.join(F.broadcast(status), "table").select("table", "status", "row_text")
 
 
 def _result_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = register_result_views(spark, _full_run(spark, sf_dir))
+    """All rows of the views in the catalog, read by another session."""
+    paths = _full_run(spark, sf_dir)
+    database = _new_database(spark)
+    publish_run(spark, version_writer(database, "comments"), paths=paths)
+    names = O.create_views(spark, database)
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.session.timeZone", "UTC")
+    views = [reader.table(name) for name in names]
     return _union(
-        [spark.table(v).agg(F.lit(v).alias("view"), F.count("*").alias("rows")) for v in names]
+        [
+            df.select(F.lit(name.split(".")[1]).alias("view"), _row_text(df))
+            for name, df in zip(names, views)
+        ]
+    )
+
+
+# Files of the raw comments with planted defects; the last record of each is never closed.
+DEFECT_FILES = 16
+
+
+def _raw_csv_with_defects(spark: SparkSession, sf_dir: str) -> str:
+    """The comments as raw CSV lines, some of them spoilt by their number."""
+    path = new_dir(spark, "raw-defects")
+    number = F.col("id").cast("bigint")
+    comments = _comments(spark, sf_dir)
+    line = F.to_csv(
+        F.struct(*comments.columns),
+        {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
+    )
+    before_last = F.regexp_replace(line, ",[^,]*$", "")
+    unclosed = F.concat(F.lit("comment,"), "id", F.lit(',7,news,true,0,/c,"never closed, so,,'))
+    spoilt = (
+        F.when(number < DEFECT_FILES, unclosed)
+        .when(number % 211 == 0, before_last)
+        .when(number % 223 == 0, F.concat(line, F.lit(",more")))
+        .when(number % 227 == 0, F.concat(before_last, F.lit(",n/a")))
+        .otherwise(line)
+    )
+    lines = comments.select(
+        (number % DEFECT_FILES).alias("file"),
+        F.when(number < DEFECT_FILES, 2).otherwise(1).alias("place"),
+        spoilt.alias("value"),
+    )
+    headers = spark.range(DEFECT_FILES).select(
+        F.col("id").alias("file"), F.lit(0).alias("place"), F.lit(",".join(RAW_HEADER)).alias("value")
+    )
+    (
+        lines.unionByName(headers)
+        .repartition(DEFECT_FILES, "file")
+        .sortWithinPartitions("file", "place")
+        .select("file", "value")
+        .write.partitionBy("file")
+        .text(path)
+    )
+    return path
+
+
+def _landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and what their parsed columns add up to, by outcome and bad columns."""
+    raw = _raw_csv_with_defects(spark, sf_dir)
+    landing = land_checked(spark, raw, new_dir(spark, "checked"))
+    rejects = landing.rejects.select(
+        "kind", F.array_join("bad_columns", ",").alias("bad_columns"), "id", "score", "body"
+    )
+    accepted = landing.comments.select(
+        F.lit("accepted").alias("kind"), F.lit("").alias("bad_columns"), "id", "score", "body"
+    )
+    bodies = F.when(F.col("kind") != "unclosed_quote", F.length("body"))
+    return (
+        accepted.unionByName(rejects)
+        .groupBy("kind", "bad_columns")
+        .agg(
+            F.count("*").alias("records"),
+            F.sum(F.col("id").cast("bigint")).alias("id_sum"),
+            F.sum("score").alias("score_sum"),
+            F.sum(bodies).cast("bigint").alias("characters"),
+        )
     )
 
 
@@ -288,6 +385,7 @@ def queries() -> dict[str, Query]:
         "csv_scan_split": _csv_scan_split,
         "bronze_landing": _bronze_landing,
         "dataset_landing": _dataset_landing,
+        "landing_rejects": _landing_rejects,
         "result_round_trip": _round_trip("parquet"),
         "result_round_trip_csv": _round_trip("csv"),
         "serving_cleanup": _report(_serving_cleanup),

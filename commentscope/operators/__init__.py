@@ -5,7 +5,14 @@ from .reporting import community_comparison
 from .sentiment import extreme_comments, extreme_score_floor, score_sentiment_matrix, sentiment_check
 from .temporal import activity_anomalies, daily_trend, hourly_pattern
 from .topics import lda_topics, topic_vocabulary
-from .views import VIEW_NAMES, community_ranking, recent_alerts, register_views, weekly_heatmap
+from .views import (
+    VIEW_NAMES,
+    community_ranking,
+    create_views,
+    recent_alerts,
+    register_views,
+    weekly_heatmap,
+)
 from .words import top_words_by_sentiment, word_count
 
 __all__ = [
@@ -14,6 +21,7 @@ __all__ = [
     "community_comparison",
     "community_controversy",
     "community_ranking",
+    "create_views",
     "daily_trend",
     "extreme_comments",
     "extreme_score_floor",

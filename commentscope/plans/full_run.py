@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import operators as O
 from ..sinks import Writer, publish_results, write_result
 from ..sources.results import read_result
+from ..storage import path_exists
 from . import summary as S
 
 
@@ -163,11 +164,16 @@ def publish_run(
     reject_violations: bool = False,
     surrogate_id: bool = False,
 ) -> DataFrame:
-    """Publish a run's stored results, from `paths` or from where the named run put them."""
-    results = stored_results(spark, paths or output_paths(base_path, run_name), fmt)
+    """Publish a run's stored results, from `paths` or from where the named run put them. Topics
+    are published if the run stored them."""
+    if not paths:
+        paths = output_paths(base_path, run_name, topics=True)
+        if not path_exists(spark, paths[TOPICS_TABLE]):
+            del paths[TOPICS_TABLE]
+    results = stored_results(spark, paths, fmt)
     return publish_results(
         spark, results, write, modes=modes, reject_violations=reject_violations,
-        surrogate_id=surrogate_id,
+        surrogate_id=surrogate_id, run_name=run_name,
     )
 
 

@@ -10,14 +10,18 @@ from .tables import (
     table_writer,
     with_surrogate_id,
 )
+from .versions import live_versions, publish_version, version_writer
 
 __all__ = [
     "Writer",
     "clean_for_serving",
     "jdbc_writer",
+    "live_versions",
     "publish_results",
     "publish_table",
+    "publish_version",
     "table_writer",
+    "version_writer",
     "with_surrogate_id",
     "write_result",
 ]

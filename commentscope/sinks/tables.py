@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import event_time, parse_time
+from ..operators.numbering import numbered
 from ..schemas import conform, violation_counts
 
 STATUS = T.StructType(
@@ -45,10 +46,13 @@ def clean_for_serving(df: DataFrame, *, unix_as_timestamp: bool = False) -> Data
     return df.select(*[typed(c) for c in df.columns if not c.startswith("Unnamed")])
 
 
-def with_surrogate_id(df: DataFrame) -> DataFrame:
-    """A random unique `row_id` per row: no counter to share between tasks, and other ids
-    when a task is retried or a load repeated."""
-    return df.select(F.uuid().alias("row_id"), "*")
+def with_surrogate_id(df: DataFrame, run_name: str) -> DataFrame:
+    """A unique `row_id` per row: the run's name and the row's place in the order of all columns.
+    The same rows get the same ids in every load and after every retry."""
+    return numbered(df, df.columns, "row_id").select(
+        F.concat_ws("-", F.lit(run_name), F.col("row_id")).alias("row_id"),
+        *[F.col(f"`{c}`") for c in df.columns],
+    )
 
 
 def table_writer(database: str | None = None, fmt: str = "parquet") -> Writer:
@@ -83,6 +87,7 @@ def publish_table(
     mode: str = "overwrite",
     reject_violations: bool = False,
     surrogate_id: bool = False,
+    run_name: str = "run",
 ) -> dict[str, int]:
     """Conform a result to its declared table and write it; returns counts of rows and of
     broken rules, taken while writing.
@@ -96,9 +101,10 @@ def publish_table(
         broken = broken_rules(ready.agg(*counts).first().asDict())
         if broken:
             raise ValueError(f"{table}: rows break declared rules: {json.dumps(broken)}")
+    if surrogate_id:
+        ready = with_surrogate_id(ready, run_name)
     observed = Observation()
-    ready = ready.observe(observed, *counts)
-    write(with_surrogate_id(ready) if surrogate_id else ready, table, mode)
+    write(ready.observe(observed, *counts), table, mode)
     return observed.get
 
 
@@ -110,6 +116,7 @@ def publish_results(
     modes: Mapping[str, str] | None = None,
     reject_violations: bool = False,
     surrogate_id: bool = False,
+    run_name: str = "run",
 ) -> DataFrame:
     """Publish each result; a row per table tells how it went.
 
@@ -124,7 +131,7 @@ def publish_results(
             mode = (modes or {}).get(table, "overwrite")
             counts = publish_table(
                 df, table, write, mode=mode, reject_violations=reject_violations,
-                surrogate_id=surrogate_id,
+                surrogate_id=surrogate_id, run_name=run_name,
             )
             broken = json.dumps(broken_rules(counts))
             rows.append((table, "published", counts["rows"], broken, None))

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import COMMENTS, RAW_COMMENTS, RAW_HEADER
-from .records import csv_records
+from ..schemas import COMMENTS, RAW_COMMENTS
 
 # Doubled quotes stand for a quote; quoted fields may span lines.
 CSV_OPTIONS = {"escape": '"', "multiLine": "true"}
@@ -22,7 +21,7 @@ def read_comments_csv(spark: SparkSession, path: str) -> DataFrame:
     """Comments by the declared schema, with the header names checked against it.
 
     A value that does not parse becomes NULL. Quoted line breaks keep Spark from splitting a
-    file, so each file is one task; see `read_comments_csv_split` for large files.
+    file, so each file is one task: land many files rather than one.
     """
     raw = (
         spark.read.schema(RAW_COMMENTS)
@@ -33,36 +32,6 @@ def read_comments_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.toDF(*COMMENTS.fieldNames())
 
 
-def read_comments_csv_split(spark: SparkSession, path: str) -> DataFrame:
-    """Like `read_comments_csv`, but a large file is read by many tasks.
-
-    Needs RFC 4180 files: quotes only around a field or doubled inside it. On any other file it
-    raises, for records found by counting quotes would be wrong from there on: a record that such
-    a quote opens too early or closes too late has a quote where none may be.
-    """
-    # What is left of a record's quotes without doubled ones and those around a field.
-    single = F.replace("text", F.lit('""'), F.lit(""))
-    stray = F.regexp_replace(single, r'(^|,)"[^"]*"(?=,|\r?$)', "$1").contains('"')
-    text = F.when(
-        stray, F.raise_error(F.concat(F.lit("unbalanced quotes in CSV record: "), F.substring("text", 1, 200)))
-    ).otherwise(F.col("text"))
-    header = ",".join(RAW_HEADER)
-    header_fits = F.lower(F.regexp_replace("text", r'["\uFEFF]', "")) == header
-    is_data = F.when(
-        F.col("opens_file"),
-        F.when(header_fits, False).otherwise(
-            F.raise_error(F.concat(F.lit("unexpected CSV header: "), "text")).cast("boolean")
-        ),
-    ).otherwise(F.col("text") != "")
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in COMMENTS)
-    return (
-        csv_records(spark, path)
-        .where(is_data)
-        .select(F.from_csv(text, columns, CSV_OPTIONS).alias("comment"))
-        .select("comment.*")
-    )
-
-
 def _csv_files(spark: SparkSession, path: str) -> DataFrame:
     """Path and size of each CSV file at or below `path`; no content is read."""
     return (
@@ -74,35 +43,34 @@ def _csv_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _one_file(spark: SparkSession, source: str, file_name: str) -> str:
+    """Path of the one file of that name at or below `source`."""
+    files = _csv_files(spark, source)
+    wanted = (
+        files.where(F.element_at(F.split("path", "/"), -1) == file_name)
+        .orderBy("path")
+        .limit(20)
+        .collect()
+    )
+    if not wanted:
+        names = [row["path"] for row in files.select("path").orderBy("path").limit(20).collect()]
+        raise FileNotFoundError(f"{file_name} is not in {source}; found: {', '.join(names)}")
+    if len(wanted) > 1:
+        found = ", ".join(row["path"] for row in wanted)
+        raise ValueError(f"{file_name} is in {source} more than once: {found}")
+    return wanted[0]["path"]
+
+
 def land_raw(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    *,
-    file_name: str | None = None,
-    split: bool = False,
+    spark: SparkSession, source: str, target: str, *, file_name: str | None = None
 ) -> DataFrame:
     """Store comment CSV as Parquet at `target`, once, and return the stored comments.
 
     All CSV files at and below `source` are one dataset. `file_name` picks one file of it, and
-    raises where there is none of that name or more than one. `split` reads large files in many
-    tasks; it gives the same rows, or raises on files that are not strictly RFC 4180.
+    raises where there is none of that name or more than one. Bad rows land as far as they parse;
+    `land_checked` keeps them apart.
     """
     if file_name is not None:
-        files = _csv_files(spark, source)
-        wanted = (
-            files.where(F.element_at(F.split("path", "/"), -1) == file_name)
-            .orderBy("path")
-            .limit(20)
-            .collect()
-        )
-        if not wanted:
-            names = [row["path"] for row in files.select("path").orderBy("path").limit(20).collect()]
-            raise FileNotFoundError(f"{file_name} is not in {source}; found: {', '.join(names)}")
-        if len(wanted) > 1:
-            found = ", ".join(row["path"] for row in wanted)
-            raise ValueError(f"{file_name} is in {source} more than once: {found}")
-        source = wanted[0]["path"]
-    read = read_comments_csv_split if split else read_comments_csv
-    read(spark, source).write.mode("overwrite").parquet(target)
+        source = _one_file(spark, source, file_name)
+    read_comments_csv(spark, source).write.mode("overwrite").parquet(target)
     return spark.read.schema(COMMENTS).parquet(target)

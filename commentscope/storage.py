@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,3 +32,18 @@ def durable(df: DataFrame) -> DataFrame:
     """`df` written to shared storage, with its lineage cut."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` as a table below the shared folder: computed once, and independent of executors."""
+    path = new_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds files that Spark would read, in whatever store it is."""
+    try:
+        return not spark.read.format("binaryFile").load(path).select("path").isEmpty()
+    except AnalysisException:
+        return False

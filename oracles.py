@@ -319,16 +319,66 @@ FULL_RUN = "\nUNION ALL\n".join(
     for table, total in CONTROL_TOTALS.items()
 )
 
+# Columns of each result and view in order; d is a double, t a time, s anything else.
+ROW_COLUMNS = {
+    "tendencias_diarias": "periodo:t avg_sentiment:d volumen:s",
+    "patrones_horarios":
+        "dia_semana:s hora:s nombre_dia:s score_promedio:d volumen:s sentiment_promedio:d",
+    "anomalias": "periodo:t volumen:s sentiment_promedio:d media_movil:d std_movil:d "
+        "desviacion_std:d es_anomalia:s",
+    "validacion_sentimiento": "rango_score:s avg_sentiment_real:d desviacion_sentiment:d",
+    "distribucion_sentiment_score": "rango_score:s rango_sentiment:s cantidad:s",
+    "controversia_por_subreddit":
+        "subreddit_name:s tipo_contenido:s cantidad:s score_promedio:d sentiment_promedio:d",
+    "comparativa_subreddits": "subreddit_name:s total_comentarios:s sentiment_promedio:d "
+        "sentiment_std:d score_promedio:d contenido_nsfw:s primer_comentario:t "
+        "ultimo_comentario:t dias_activos:s comentarios_por_dia:d",
+    "comentarios_extremos": "id:s subreddit_name:s created_utc:s score:s sentiment:d "
+        "extremo_tipo:s preview_texto:s",
+    "top_palabras_sentimiento": "sentiment_categoria:s word:s frecuencia:s rank:s",
+    "view_heatmap_semanal":
+        "dia_nombre:s dia_semana:s hora:s intensidad_actividad:s sentimiento:d",
+    "view_ranking_subreddits": "subreddit_name:s total_comentarios:s sentiment_promedio:d "
+        "etiqueta_sentimiento:s velocidad_actividad:d",
+    "view_alertas_recientes": "periodo:t tipo_anomalia:s volumen:s sentiment_promedio:d",
+}
+
+
+def _row_text(name: str) -> str:
+    """A row as `_row_text` of the Spark side writes it."""
+    kinds = {
+        "d": f"CAST(CAST({_places('{c}')} AS DECIMAL(20,6)) AS VARCHAR)",
+        "t": "strftime({c}, '%Y-%m-%d %H:%M:%S')",
+        "s": "CAST({c} AS VARCHAR)",
+    }
+    columns = [column.split(":") for column in ROW_COLUMNS[name].split()]
+    texts = [f"coalesce({kinds[kind].format(c=column)}, '-')" for column, kind in columns]
+    return f"concat_ws('|', {', '.join(texts)}) AS row_text"
+
+
 PUBLISHED = "\nUNION ALL\n".join(
-    f'SELECT \'{table}\' AS "table", \'published\' AS status, count(*) AS rows, '
-    f"count(*) AS rows_in_table FROM ({sql})"
+    f"SELECT '{table}' AS \"table\", 'published' AS status, {_row_text(table)} FROM ({sql})"
     for table, sql in RESULT_SQL.items()
 )
 
 RESULT_VIEWS = "\nUNION ALL\n".join(
-    f'SELECT \'{view}\' AS "view", count(*) AS rows FROM ({sql})' for view, sql in VIEWS.items()
+    f"SELECT '{view}' AS \"view\", {_row_text(view)} FROM ({sql})" for view, sql in VIEWS.items()
 )
 
+REJECTS = """
+SELECT kind, CASE WHEN kind = 'bad_value' THEN 'score' ELSE '' END AS bad_columns,
+       count(*) AS records, CAST(sum(n) AS BIGINT) AS id_sum,
+       CAST(sum(CASE WHEN kind IN ('accepted', 'long_row') THEN score END) AS BIGINT) AS score_sum,
+       CAST(sum(CASE WHEN kind <> 'unclosed_quote' THEN length(body) END) AS BIGINT) AS characters
+FROM (
+  SELECT *, CASE WHEN n < 16 THEN 'unclosed_quote' WHEN n % 211 = 0 THEN 'short_row'
+                 WHEN n % 223 = 0 THEN 'long_row' WHEN n % 227 = 0 THEN 'bad_value'
+                 ELSE 'accepted' END AS kind
+  FROM (SELECT *, CAST(id AS BIGINT) AS n FROM comments)
+)
+GROUP BY 1, 2
+"""
+
 ORACLES = {
     "daily_trend": _with(DAILY),
     "hourly_pattern": _with(PATTERN.format(times="timed")),
@@ -355,6 +405,7 @@ ORACLES = {
     "csv_scan_split": _with(SCAN),
     "bronze_landing": _with(LANDED),
     "dataset_landing": _with(LANDED),
+    "landing_rejects": _with(REJECTS),
     "result_round_trip": _with(EXTREMES),
     "result_round_trip_csv": _with(EXTREMES),
     "serving_cleanup": _with(SERVING_CLEANUP),

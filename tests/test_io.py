@@ -1,10 +1,7 @@
 import gzip
 import random
-import subprocess
-import sys
 
 import pytest
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from commentscope import operators as O
@@ -19,12 +16,10 @@ from commentscope.sinks import (
 from commentscope.sources import (
     land_raw,
     read_comments_csv,
-    read_comments_csv_split,
     read_result,
 )
 
 HEADER = ",".join(schemas.RAW_HEADER)
-READERS = [read_comments_csv, read_comments_csv_split]
 
 
 def write_csv(path, text):
@@ -36,8 +31,7 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("read", READERS)
-def test_quotes_line_breaks_and_bad_values(spark, tmp_path, read):
+def test_quotes_line_breaks_and_bad_values(spark, tmp_path):
     path = write_csv(
         tmp_path / "c.csv",
         f"{HEADER}\n"
@@ -45,7 +39,7 @@ def test_quotes_line_breaks_and_bad_values(spark, tmp_path, read):
         "comment,e2,7,news,maybe,soon,/c/2,,x,xx\n"
         'comment,e3,7,news,true,5,/c/3,"",0.5,2\n',
     )
-    first, second, third = sorted(read(spark, path).collect(), key=lambda r: r["id"])
+    first, second, third = sorted(read_comments_csv(spark, path).collect(), key=lambda r: r["id"])
     assert tuple(first) == (
         "comment", "e1", "7", "news", False, 1704067200, "/c/1", 'he said "hi",\nbye', -0.31, -1,
     )
@@ -53,108 +47,23 @@ def test_quotes_line_breaks_and_bad_values(spark, tmp_path, read):
     assert third["body"] is None and third["subreddit_nsfw"] is True
 
 
-@pytest.mark.parametrize("read", READERS)
-def test_wrong_header_is_refused(spark, tmp_path, read):
+def test_wrong_header_is_refused(spark, tmp_path):
     swapped = HEADER.replace("sentiment,score", "score,sentiment")
     path = write_csv(tmp_path / "c.csv", f"{swapped}\ncomment,a,,,,,,,1,0.5\n")
     with pytest.raises(Exception, match="(?i)header"):
-        read(spark, path).collect()
-
-
-def random_field(rng):
-    text = "".join(rng.choices('ab,"\n é', k=rng.randint(0, 25)))
-    if any(c in text for c in ',"\n') or rng.random() < 0.3:
-        return '"' + text.replace('"', '""') + '"'
-    return text
-
-
-@pytest.mark.parametrize("split_bytes", [16, 40, 200, 5000])
-@pytest.mark.parametrize("end", ["\n", "\r\n"])
-def test_split_reader_equals_whole_file_reader(spark, tmp_path, split_bytes, end):
-    """Records and quoted fields over the borders of splits, in several files."""
-    rng = random.Random(split_bytes)
-    for name in "abc":
-        lines = [
-            f"comment,{name}{i},{random_field(rng)},news,true,{i},/c/{i},{random_field(rng)},0.5,{i}"
-            for i in range(rng.randint(0, 60))
-        ]
-        write_csv(tmp_path / f"{name}.csv", end.join([HEADER, *lines]) + end * rng.randint(0, 2))
-    whole = rows_of(read_comments_csv(spark, str(tmp_path)))
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(split_bytes))
-    try:
-        assert rows_of(read_comments_csv_split(spark, str(tmp_path))) == whole
-    finally:
-        spark.conf.set(key, before)
-
-
-def test_split_reader_without_broadcast(spark, tmp_path, monkeypatch):
-    """Beyond the bound of the broadcast, the lines are shuffled by split and sorted."""
-    from commentscope.sources import records
-
-    monkeypatch.setattr(records, "MAX_BROADCAST_SPLITS", 0)
-    test_split_reader_equals_whole_file_reader(spark, tmp_path, 40, "\n")
-
-
-def test_executors_need_no_copy_of_the_package(tmp_path):
-    from commentscope.sources import records
-
-    code = "import pickle, sys; print(list(pickle.load(sys.stdin.buffer)(iter([]))))"
-    out = subprocess.run(
-        [sys.executable, "-c", code],
-        input=cloudpickle.dumps(records._join_lines),
-        cwd=tmp_path,
-        capture_output=True,
-        check=True,
-    )
-    assert out.stdout.strip() == b"[]"
+        read_comments_csv(spark, path).collect()
 
 
-def test_field_longer_than_several_splits(spark, tmp_path):
-    body = "\n".join("x" * 7 for _ in range(50))
-    path = write_csv(
-        tmp_path / "c.csv", f'{HEADER}\ncomment,a,,,,,,"{body}",,1\ncomment,b,,,,,,"{body}",,2\n'
-    )
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "64")
-    try:
-        rows = read_comments_csv_split(spark, path).orderBy("id").collect()
-    finally:
-        spark.conf.set(key, before)
-    assert [(r["id"], r["body"], r["score"]) for r in rows] == [("a", body, 1), ("b", body, 2)]
-
-
-BAD_FILES = {
-    "a stray quote": 'comment,a,,,,,,a 5" pipe,,1\ncomment,b,,,,,,hi,,2\ncomment,c,,,,,,7" and 9",,3\n',
-    "an unclosed field": 'comment,a,,,,,,hi,,1\ncomment,b,,,,,,"never closed,,2\ncomment,c,,,,,,x,,3\n',
-    "text behind a quoted field": 'comment,a,,,,,,"x" y,,1\ncomment,b,,,,,,hi,,2\n',
-}
-
-
-@pytest.mark.parametrize("split_bytes", [16, 100, 5000])
-@pytest.mark.parametrize("kind", BAD_FILES)
-def test_split_reader_refuses_stray_quotes(spark, tmp_path, kind, split_bytes):
-    path = write_csv(tmp_path / "c.csv", f"{HEADER}\n{BAD_FILES[kind]}")
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(split_bytes))
-    try:
-        with pytest.raises(Exception, match="unbalanced quotes"):
-            read_comments_csv_split(spark, path).collect()
-    finally:
-        spark.conf.set(key, before)
+STRAY_QUOTE = 'comment,a,,,,,,a 5" pipe,,1\ncomment,b,,,,,,hi,,2\ncomment,c,,,,,,7" and 9",,3\n'
 
 
 def test_landing_keeps_rows_of_a_file_with_a_stray_quote(spark, tmp_path):
-    path = write_csv(tmp_path / "c.csv", f"{HEADER}\n{BAD_FILES['a stray quote']}")
+    path = write_csv(tmp_path / "c.csv", f"{HEADER}\n{STRAY_QUOTE}")
     landed = land_raw(spark, path, str(tmp_path / "bronze"))
     assert sorted(r["id"] for r in landed.collect()) == ["a", "b", "c"]
 
 
-@pytest.mark.parametrize("split", [True, False])
-def test_landing_takes_a_whole_dataset(spark, tmp_path, split):
+def test_landing_takes_a_whole_dataset(spark, tmp_path):
     """Folders below folders, compressed files, and names that stand in two folders."""
     for folder, name in [("x", "c.csv"), ("y", "c.csv"), ("y/z", "d.csv")]:
         (tmp_path / "raw" / folder).mkdir(parents=True, exist_ok=True)
@@ -162,20 +71,19 @@ def test_landing_takes_a_whole_dataset(spark, tmp_path, split):
     packed = gzip.compress(f"{HEADER}\ncomment,gz,,,,,,hi,,1\n".encode())
     (tmp_path / "raw" / "e.csv.gz").write_bytes(packed)
     raw, target = str(tmp_path / "raw"), str(tmp_path / "bronze")
-    landed = land_raw(spark, raw, target, split=split)
+    landed = land_raw(spark, raw, target)
     assert sorted(r["id"] for r in landed.collect()) == ["gz", "x", "y", "y/z"]
     for name, expected in [("d.csv", "y/z"), ("e.csv.gz", "gz")]:
-        one = land_raw(spark, raw, target, file_name=name, split=split)
+        one = land_raw(spark, raw, target, file_name=name)
         assert [r["id"] for r in one.collect()] == [expected]
     with pytest.raises(ValueError, match="more than once"):
-        land_raw(spark, raw, target, file_name="c.csv", split=split)
+        land_raw(spark, raw, target, file_name="c.csv")
 
 
-@pytest.mark.parametrize("split", [True, False])
-def test_landing(spark, fixture_comments, tmp_path, split):
+def test_landing(spark, fixture_comments, tmp_path):
     raw = str(tmp_path / "raw")
     write_result(fixture_comments.toDF(*schemas.RAW_HEADER), raw, fmt="csv")
-    landed = land_raw(spark, raw, str(tmp_path / "bronze"), split=split)
+    landed = land_raw(spark, raw, str(tmp_path / "bronze"))
     assert landed.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.COMMENTS]
     assert rows_of(landed) == rows_of(fixture_comments)
 
@@ -285,8 +193,10 @@ def test_surrogate_ids_are_unique(spark, database):
         F.col("id").alias("cantidad"),
     )
     table = "distribucion_sentiment_score"
-    for mode in ("overwrite", "append"):
-        publish_table(df, table, table_writer(database), mode=mode, surrogate_id=True)
+    for mode, run in (("overwrite", "first"), ("append", "second")):
+        publish_table(
+            df, table, table_writer(database), mode=mode, surrogate_id=True, run_name=run
+        )
     stored = spark.table(f"{database}.{table}")
     assert stored.select("row_id").distinct().count() == stored.count() == 200
 
@@ -298,15 +208,9 @@ def test_surrogate_ids_of_published_results(spark, database, make_comments):
 
 
 @pytest.mark.parametrize("name", ["csv_scan_split", "bronze_landing"])
-def test_large_datasets_are_many_files_for_the_csv_reader(spark, sf_dir, monkeypatch, name):
+def test_large_datasets_are_many_files(spark, sf_dir, monkeypatch, name):
     import __spark_entry__ as entry
-    from commentscope.sources import comments
-
-    def refuse(*args, **kwargs):
-        raise AssertionError("the record splitter was asked")
 
-    for module in (entry, comments):
-        monkeypatch.setattr(module, "read_comments_csv_split", refuse, raising=False)
     folders = []
     raw = entry._raw_csv
     monkeypatch.setattr(entry, "_raw_csv", lambda *a: folders.append(raw(*a)) or folders[-1])

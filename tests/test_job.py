@@ -24,12 +24,22 @@ def test_job(spark, fixture_comments, tmp_path, fmt):
     assert len(status) == 9
     counts = {r["table"]: r["rows"] for r in status}
     assert counts["top_palabras_sentimiento"] == 150
-    assert spark.table("view_heatmap_semanal").count() == counts["patrones_horarios"]
 
-    again = run_job(spark, arguments([*base, "--append", "anomalias"])).collect()
-    assert {r["status"] for r in again} == {"published"}
-    assert spark.table(f"{database}.anomalias").count() == 2 * counts["anomalias"]
-    assert spark.table(f"{database}.patrones_horarios").count() == counts["patrones_horarios"]
+    def in_table(name):
+        return spark.newSession().table(f"{database}.{name}").count()
+
+    # Another session reads the views, which follow their tables.
+    assert in_table("view_heatmap_semanal") == counts["patrones_horarios"] == in_table("patrones_horarios")
+    assert in_table("view_alertas_recientes") == counts["anomalias"] > 0
+
+    # The same run again has its rows once, in tables that grow too; another run adds its own.
+    for run, times in [("comments", 1), ("more", 2)]:
+        more = ["--append", "anomalias", "--run", run]
+        landed = ["--raw", raw] if run == "more" else []
+        again = run_job(spark, arguments([*base, *more, *landed])).collect()
+        assert {r["status"] for r in again} == {"published"}
+        assert in_table("anomalias") == times * counts["anomalias"] == in_table("view_alertas_recientes")
+        assert in_table("patrones_horarios") == counts["patrones_horarios"]
 
 
 def test_publishing_a_named_run(spark, tmp_path):

@@ -1,0 +1,87 @@
+"""Landing with an account of bad rows."""
+
+import pytest
+
+from commentscope import schemas
+from commentscope.job import arguments, run_job
+from commentscope.sources import land_checked, landed, read_checked, read_comments_csv
+
+HEADER = ",".join(schemas.RAW_HEADER)
+
+GOOD = [
+    'comment,g1,7,news,false,1704067200,/c/1,"said ""a, b"", c",-0.31,-1',
+    'comment,g2,7,"ne,ws",true,5,/c/2,"two\nlines, ""x""",0.5,2',
+    "comment,g3,,,,,,,,",
+    'comment,g4,7,news,true,5,/c/4,"",0.5,2',
+]
+BAD = {
+    "s1": ("short_row", [], "comment,s1,7,news,true,5,/c/1,hi,0.5"),
+    "s2": ("short_row", [], 'comment,s2,"a,b,c,d,e,f,g,h",""",,,"'),
+    "l1": ("long_row", [], "comment,l1,7,news,true,5,/c/1,hi,0.5,2,more"),
+    "l2": ("long_row", ["score"], 'comment,l2,7,news,true,5,/c/1,"h,i",0.5,x,,'),
+    "v1": ("bad_value", ["score"], "comment,v1,7,news,true,5,/c/1,hi,0.5,two"),
+    "v2": ("bad_value", ["subreddit_nsfw", "created_utc", "sentiment"], 'comment,v2,7,news,maybe,soon,/c/1,"a\n""b""",x,2'),
+    "q1": ("unclosed_quote", [], 'comment,q1,7,news,true,5,/c/1,"never closed, and more,,\n,,'),
+}
+
+
+@pytest.fixture
+def raw(tmp_path):
+    folder = tmp_path / "raw" / "deep"
+    folder.mkdir(parents=True)
+    bad = [line for _, _, line in BAD.values()]
+    (folder / "a.csv").write_text("\n".join([HEADER, GOOD[0], *bad[:3], *GOOD[1:3], *bad[3:]]) + "\n")
+    (folder.parent / "b.csv").write_text("\n".join([HEADER, GOOD[3]]))
+    return str(tmp_path / "raw")
+
+
+def test_accepted_and_rejected_are_all_records(spark, raw, tmp_path):
+    landing = land_checked(spark, raw, str(tmp_path / "bronze"))
+    rejects = {r["id"]: r for r in landing.rejects.collect()}
+    assert {k: (r["kind"], r["bad_columns"]) for k, r in rejects.items()} == {
+        k: (kind, columns) for k, (kind, columns, _) in BAD.items()
+    }
+    for key, (_, _, line) in BAD.items():
+        assert rejects[key]["record"].strip() == line
+        assert rejects[key]["file"].endswith("raw/deep/a.csv")
+    accepted = {r["id"]: r for r in landing.comments.collect()}
+    whole = {r["id"]: r for r in read_comments_csv(spark, raw).collect()}
+    assert set(accepted) == {"g1", "g2", "g3", "g4"}
+    assert all(accepted[k] == whole[k] for k in accepted)
+    account = {r["kind"]: r["records"] for r in landing.account().collect()}
+    assert account == {"accepted": 4, "short_row": 2, "long_row": 2, "bad_value": 2, "unclosed_quote": 1}
+    assert sum(account.values()) == len(whole)
+    again = landed(spark, str(tmp_path / "bronze"))
+    assert {r["id"] for r in again.comments.collect()} == set(accepted)
+    assert landing.comments.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.COMMENTS]
+
+
+def test_defects_that_are_let_in(spark, raw, tmp_path):
+    landing = land_checked(spark, raw, str(tmp_path / "b"), reject=["long_row", "unclosed_quote"])
+    assert {r["id"] for r in landing.rejects.collect()} == {"l1", "l2", "q1"}
+    accepted = {r["id"]: r for r in landing.comments.collect()}
+    assert accepted["v1"]["score"] is None and accepted["v1"]["sentiment"] == 0.5
+    assert accepted["s1"]["score"] is None and accepted["s1"]["body"] == "hi"
+    nothing = land_checked(spark, raw, str(tmp_path / "c"), reject=[])
+    assert nothing.rejects.count() == 0 and nothing.comments.count() == 11
+    with pytest.raises(ValueError, match="no such defect"):
+        land_checked(spark, raw, str(tmp_path / "d"), reject=["odd"])
+
+
+def test_one_file_and_wrong_headers(spark, raw, tmp_path):
+    only = land_checked(spark, raw, str(tmp_path / "one"), file_name="b.csv")
+    assert [r["id"] for r in only.comments.collect()] == ["g4"]
+    assert only.rejects.collect() == []
+    (tmp_path / "odd.csv").write_text(HEADER.replace("sentiment,score", "score,sentiment") + "\nx\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_checked(spark, str(tmp_path / "odd.csv")).collect()
+    (tmp_path / "empty.csv").write_text(HEADER + "\n")
+    empty = land_checked(spark, str(tmp_path / "empty.csv"), str(tmp_path / "none"))
+    assert empty.comments.collect() == empty.rejects.collect() == []
+
+
+def test_the_job_leaves_bad_rows_out(spark, raw, tmp_path, capfd):
+    run_job(spark, arguments(["--base", f"{tmp_path}/out", "--raw", raw, "--check-rows"]))
+    trend = spark.read.parquet(f"{tmp_path}/out/analytics/temporal/tendencias_diarias/comments")
+    assert trend.agg({"volumen": "sum"}).first()[0] == 4
+    assert "unclosed_quote" in capfd.readouterr().out
