@@ -36,6 +36,9 @@ _SYMBOL[128:] = np.arange(27, SYMBOLS)
 # Bits a symbol that a text may cost beyond the labelled ones, which the model has learned from.
 SLACK = 1.0
 
+# Share of the labelled texts whose cost counts as usual; mislabelled ones may lie beyond.
+USUAL = 0.99
+
 # The compiled costs of all languages are broadcast; more than this is refused.
 MAX_MODEL_BYTES = 256 << 20
 
@@ -56,18 +59,19 @@ def trigram_counts(documents: DataFrame, text: str, label: str) -> DataFrame:
     """`label`, `gram`, `n` over all rows with a label: how often each trigram occurs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
-        for batch in steps(batches, "text", 8 << 20):
-            for name in pc.unique(batch.column("label")).to_pylist():
-                own = batch.filter(pc.equal(batch.column("label"), name))
-                data, offsets = text_bytes(own.column("text"))
-                codes = _trigrams(_SYMBOL[data], offsets, SYMBOLS)
-                counts = np.bincount(codes, minlength=SYMBOLS**3).astype(np.int64)
-                total[name] = total[name] + counts if name in total else counts
-        for name, counts in total.items():
-            seen = np.flatnonzero(counts)
+        # Counts leave each step as rows, which Spark adds up within the task; what a task holds
+        # does not depend on the number of labels.
+        for batch in steps(batches, "text"):
+            labels = batch.column("label").dictionary_encode()
+            data, offsets = text_bytes(batch.column("text"))
+            codes = _trigrams(_SYMBOL[data], offsets, SYMBOLS)
+            owner = np.repeat(labels.indices.to_numpy(zero_copy_only=False), np.diff(offsets))
+            codes = np.sort(owner.astype(np.int64) * SYMBOLS**3 + codes)
+            heads = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)])
+            label, gram = np.divmod(codes[heads], SYMBOLS**3)
+            times = np.diff(np.append(heads, len(codes)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(seen), pa.string()), pa.array(seen), pa.array(counts[seen])],
+                [labels.dictionary.take(pa.array(label)), pa.array(gram), pa.array(times)],
                 ["label", "gram", "n"],
             )
 
@@ -210,8 +214,8 @@ def length_class(text: str) -> Column:
 def bit_limits(
     documents: DataFrame, model: Model, *, text: str = "text", label: str = "lang"
 ) -> DataFrame:
-    """`lang_pred` and `limits`, an array of (class, bits): the most bits a symbol that labelled
-    texts of a length class cost where that language wins. One row a language."""
+    """`lang_pred` and `limits`, an array of (class, bits): bits a symbol that `USUAL` of the labelled
+    texts of a length class do not exceed where that language wins. One row a language."""
     labelled = documents.where(F.col(label).isNotNull() & F.col(text).isNotNull())
     judged = identify(
         labelled, model, text=text, keep=[length_class(text).alias("class")], bits="bits"
@@ -219,7 +223,7 @@ def bit_limits(
     return (
         judged.where(F.col("lang_pred") != UNKNOWN)
         .groupBy("lang_pred", "class")
-        .agg(F.max("bits").alias("bits"))
+        .agg(F.percentile_approx("bits", F.lit(USUAL), F.lit(10_000)).alias("bits"))
         .groupBy("lang_pred")
         .agg(F.collect_list(F.struct("class", "bits")).alias("limits"))
     )

@@ -31,8 +31,9 @@ WINDOW = 2048
 # Rests that one shard packs, on average.
 SHARD_RESTS = 20_000
 
-# Entries after which a task's piece cache starts anew; bounds its memory.
-MAX_CACHE = 1_000_000
+# Bytes after which a piece cache starts anew, and what an entry takes besides its strings.
+MAX_CACHE_BYTES = 48 << 20
+ENTRY_BYTES = 200
 
 # White space other than single spaces and line breaks between other characters. In texts without
 # it, tokens start anew at each space and line break.
@@ -50,7 +51,7 @@ class _Known(dict):
 
     def __init__(self, encoding, prefix: str):
         super().__init__()
-        self._encoding, self._prefix = encoding, prefix
+        self._encoding, self._prefix, self._bytes = encoding, prefix, 0
 
     def _word(self, text: str) -> bytes:
         """Of a text that the splitting pattern leaves whole."""
@@ -58,7 +59,7 @@ class _Known(dict):
         return array("I", ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MAX_CACHE:
+        if self._bytes >= MAX_CACHE_BYTES:
             self.clear()
         if piece.isalpha():
             ids = self._word(self._prefix + piece)
@@ -69,8 +70,13 @@ class _Known(dict):
         else:
             ids = self._encoding.encode(self._prefix + piece)
         self[piece] = ids
+        self._bytes += ENTRY_BYTES + 2 * len(piece) + len(ids)
         return ids
 
+    def clear(self) -> None:
+        super().clear()
+        self._bytes = 0
+
 
 class _Encoding:
     def __init__(self, ranks_path: str):
@@ -86,6 +92,11 @@ class _Encoding:
         self.start = _Known(self, "")
         self.behind_space = _Known(self, " ")
 
+    def forget(self) -> None:
+        """Drop the known pieces; workers live on behind a task."""
+        self.start.clear()
+        self.behind_space.clear()
+
     def encode(self, text: str) -> bytes:
         return bytes(self._core_bpe.encode_to_tiktoken_buffer(text, set()))
 
@@ -182,6 +193,7 @@ def token_pieces(
                 ],
                 ["key", "start", "length", "doc_tokens", "ids"],
             )
+        _encoding(ranks_path).forget()
 
     return (
         documents.select(F.col(key).alias("key"), F.col(text).alias("text"))

@@ -15,7 +15,10 @@ from __future__ import annotations
 
 import hmac
 import re
+import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +62,24 @@ CALLING_CODE = re.compile(
 
 _GROUP_OF = {c: g for g in _GROUPS for c in g}
 
+
+@cache
+def _block(number: int, category: str) -> str:
+    """Characters of a category among 256 code points side by side, which share a script."""
+    return "".join(c for c in map(chr, range(256 * number, 256 * number + 256)) if unicodedata.category(c) == category)
+
+
+def _group(c: str) -> str | None:
+    """What a letter or digit may be exchanged for; None for other characters and for one that
+    stands alone."""
+    if (group := _GROUP_OF.get(c)) is not None:
+        return group
+    if not (c.isalpha() or c.isdecimal()):
+        return None
+    group = _block(ord(c) >> 8, unicodedata.category(c))
+    listed = "".join(x for x in group if x not in _GROUP_OF)
+    return listed if len(listed) > 1 else None
+
 # --- detection -----------------------------------------------------------------------------
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -84,8 +105,11 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     found: list[tuple[int, int, str, str]] = []
 
     def claim(start: int, end: int, kind: str, gender: str = "") -> None:
-        if all(end <= s or start >= e for s, e, _, _ in found):
-            found.append((start, end, kind, gender))
+        # Claims are in order and apart, so only the two beside a new one can meet it.
+        at = bisect_left(found, (start,))
+        if (at and found[at - 1][1] > start) or (at < len(found) and found[at][0] < end):
+            return
+        found.insert(at, (start, end, kind, gender))
 
     if "@" in text:
         for m in EMAIL.finditer(text):
@@ -96,7 +120,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
                 claim(*m.span(), kind)
     for m in NAME.finditer(text):
         claim(*m.span("name"), "name", ADDRESS[m["title"]])
-    return sorted(found)
+    return found
 
 
 # --- surrogates ----------------------------------------------------------------------------
@@ -115,17 +139,26 @@ class Surrogates:
         return int.from_bytes(hmac.digest(self._key, message, "sha256")) % below
 
     def permuted(self, value: int, left: int, right: int, tweak: str) -> int:
-        """A bijection of 0 .. left * right - 1: halves are shifted by hashes of each other."""
+        """A bijection of 0 .. left * right - 1 that leaves no value as it is, if there are two.
+
+        Values are mixed, shifted by a number other than 0, and mixed back. Mixing shifts halves by
+        hashes of each other."""
+        size = left * right
         a, b = divmod(value, right)
         for step in range(self.ROUNDS):
             a = (a + self._number(tweak, 2 * step, b, left)) % left
             b = (b + self._number(tweak, 2 * step + 1, a, right)) % right
+        shift = 1 + self._number(tweak, 2 * self.ROUNDS, "shift", max(size - 1, 1))
+        a, b = divmod((a * right + b + shift) % size, right)
+        for step in range(self.ROUNDS - 1, -1, -1):
+            b = (b - self._number(tweak, 2 * step + 1, a, right)) % right
+            a = (a - self._number(tweak, 2 * step, b, left)) % left
         return a * right + b
 
     def _characters(self, text: str, tweak: str) -> str:
         """Each character becomes one of its group; others stay. Texts of one format, that is
         groups and other characters, are permuted among themselves."""
-        groups = [_GROUP_OF.get(c) for c in text]
+        groups = [_group(c) for c in text]
         radices = [len(g) for g in groups if g]
         if not radices:
             return text
@@ -297,11 +330,14 @@ def mentions(text: str, surrogates: Surrogates) -> list[tuple[int, int, str, str
 
 # --- Spark ---------------------------------------------------------------------------------
 
-DEFAULT_KEY = b"replace this key and keep it secret"
+# Whoever knows the key can undo the surrogates, so there is no key by default. The query takes its
+# key from this setting of the session, and for test tables, where it is unset, uses a public one.
+KEY_SETTING = "commentscope.pii.key"
+TEST_KEY = b"a public key, for test tables only"
 
 
 def surrogate_table(
-    documents: DataFrame, *, key: bytes = DEFAULT_KEY, text: str = "text"
+    documents: DataFrame, *, key: bytes, text: str = "text"
 ) -> DataFrame:
     """Distinct `type`, `entity`, `surrogate` of all texts."""
 
@@ -326,18 +362,22 @@ def surrogate_table(
 
 
 def collisions(surrogates: DataFrame) -> DataFrame:
-    """Surrogates that more than one entity got, and entities that got more than one surrogate."""
+    """Surrogates that more than one entity got, entities that got more than one surrogate, and
+    entities that stayed as they are."""
     merged = surrogates.groupBy("type", F.col("surrogate").alias("value")).agg(
         F.count("*").alias("n")
     )
     split = surrogates.groupBy("type", F.col("entity").alias("value")).agg(F.count("*").alias("n"))
-    return merged.unionByName(split).where(F.col("n") > 1)
+    kept = surrogates.where(F.col("entity") == F.col("surrogate")).select(
+        "type", F.col("entity").alias("value"), F.lit(2).cast("bigint").alias("n")
+    )
+    return merged.unionByName(split).where(F.col("n") > 1).unionByName(kept)
 
 
 def replace_personal_data(
     documents: DataFrame,
     *,
-    key: bytes = DEFAULT_KEY,
+    key: bytes,
     text: str = "text",
     check: bool = True,
 ) -> DataFrame:
@@ -345,7 +385,8 @@ def replace_personal_data(
     (type, start, end, surrogate) with places in the old text as code points.
 
     Null texts stay null and have no entities; other columns and repeated rows stay as they are,
-    but for a column `entities`, which is replaced.
+    but for a column `entities`, which is replaced. Whole texts are read however long, in time that
+    grows with them; of overlapping finds the first type in order keeps its place.
     With `check`, a job over all entities first raises if two of them share a surrogate.
     """
     if check and (clash := collisions(surrogate_table(documents, key=key, text=text)).first()):
@@ -383,6 +424,7 @@ def replace_personal_data(
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return replace_personal_data(documents).select(
+    key = spark.conf.get(KEY_SETTING, None)
+    return replace_personal_data(documents, key=key.encode() if key else TEST_KEY).select(
         "doc_id", "text", F.size("entities").cast("long").alias("n_entities"), "entities"
     )

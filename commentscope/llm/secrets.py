@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -83,46 +84,48 @@ class _Scopes:
         return gap <= SCOPE_CHARS and lines <= SCOPE_LINES
 
     def joined(self, left: list[Span], right: list[Span]) -> list[Span]:
-        """Spans of `left` with a near span in `right`. Spans of one kind do not overlap, so
-        starts and ends rise together and the closest neighbours decide."""
+        """Spans of `left` with a near span in `right`, which is sorted. The closest ones decide:
+        of those that start before, the one that reaches farthest, and the first behind."""
         starts = [s.start for s in right]
+        reaching = list(accumulate(right, lambda a, b: b if b.end > a.end else a))
         kept = []
         for span in left:
             at = bisect_right(starts, span.start)
-            if any(self.near(span, other) for other in right[max(at - 1, 0) : at + 1]):
+            closest = reaching[at - 1 : at] + right[at : at + 1] if at else right[:1]
+            if any(self.near(span, other) for other in closest):
                 kept.append(span)
         return kept
 
 
-def linked_spans(text: str, base: list[Span]) -> list[Span]:
-    """Weak parts that complementary parts confirm."""
-    taken = [(s.start, s.end) for s in base]
-    ends = [e for _, e in taken]
-
-    def free(start: int, end: int) -> bool:
-        # A sure span may hold another one, so all that end behind the start are looked at.
-        return all(
-            e <= start or s >= end for s, e in (taken if len(taken) < 64 else _close(start, end))
-        )
+class _Taken:
+    """Whether a place is free of some spans, which may hold one another."""
+
+    def __init__(self, spans: list[Span]):
+        self._starts = [s.start for s in spans]
+        self._reach = list(accumulate((s.end for s in spans), max))
 
-    def _close(start: int, end: int):
-        return [(s, e) for s, e in taken if e > start and s < end] if ends else []
+    def free(self, start: int, end: int) -> bool:
+        before = bisect_left(self._starts, end)
+        return not before or self._reach[before - 1] <= start
 
-    identifiers = [Span(m.start(), 3, m.end()) for m in IDENTIFIER.finditer(text) if free(*m.span())]
+
+def linked_spans(text: str, base: list[Span]) -> list[Span]:
+    """Weak parts that complementary parts confirm. `base` is sorted, as `base_spans` gives it."""
+    taken = _Taken(base)
+    identifiers = [
+        Span(m.start(), 3, m.end()) for m in IDENTIFIER.finditer(text) if taken.free(*m.span())
+    ]
     access = [s for s in base if s.kind == 1]
     endpoints = (
         [Span(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)] if "://" in text else []
     )
     if not identifiers and not access and not endpoints:
         return []
-    scopes = _Scopes(text)
-    inside = [(e.start, e.end) for e in endpoints]
+    scopes, inside = _Scopes(text), _Taken(endpoints)
     weak = [
         Span(m.start(), 4, m.end())
         for m in MIXED.finditer(text)
-        if _is_mixed(m[0])
-        and free(*m.span())
-        and not any(s < m.end() and m.start() < e for s, e in inside)
+        if _is_mixed(m[0]) and taken.free(*m.span()) and inside.free(*m.span())
     ]
     partners = [identifiers, access, endpoints]
     secrets = sorted({s for p in partners if p for s in scopes.joined(weak, p)})

@@ -557,7 +557,7 @@ def test_names_by_gender_and_without_title(spark):
         "Dr Ζήνων Παππάς", "Ms Ζήνων Παππάς",
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    new = {r["doc_id"]: r["text"] for r in pii.replace_personal_data(df).collect()}
+    new = {r["doc_id"]: r["text"] for r in pii.replace_personal_data(df, key=b"key").collect()}
     given, family = re.match(r"Dr (\S+) (\S+) came", new[0]).groups()
     assert given in pii.GIVEN_NAMES["f", "latin"]
     assert new[0] == f"Dr {given} {family} came. {family} said that {given} was late; Kellerman was not. Call Mrs {family}."
@@ -583,7 +583,7 @@ def test_numbers_have_one_surrogate_however_written(spark, kind, written):
     assert len({pii.normal(kind, n) for n in new}) == 1
     assert [re.sub("[0-9A-Z]", "x", n) for n in new] == [re.sub("[0-9A-Z]", "x", w) for w in written]
     df = spark.createDataFrame([(f"at {w} now",) for w in written], "text string")
-    assert pii.replace_personal_data(df).where("size(entities) = 1").count() == len(written)
+    assert pii.replace_personal_data(df, key=b"key").where("size(entities) = 1").count() == len(written)
 
 
 def test_personal_data_is_gone(spark, sf_dir, texts):
@@ -607,9 +607,9 @@ def test_collisions_are_seen(spark):
 
 
 def test_personal_data_odd(odd, none):
-    rows = pii.replace_personal_data(odd).collect()
+    rows = pii.replace_personal_data(odd, key=b"key").collect()
     assert sorted(repr(r["text"]) for r in rows) == sorted(repr(t) for _, t in ODD_TEXTS)
-    assert pii.replace_personal_data(none).count() == 0
+    assert pii.replace_personal_data(none, key=b"key").count() == 0
 
 
 # --- pipeline ------------------------------------------------------------------------------
