@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from ..storage import new_dir
 from .common import SPACES, stored, table
-from .jaccard import near_duplicate_groups
 
 MIN_DOCUMENTS = 5
 MIN_TOKENS = 5
@@ -37,6 +36,13 @@ MAX_LOSS = 0.5
 # Documents that hold a line under MIN_TOKENS tokens, where such lines are judged.
 SHORT_DOCUMENTS = 10
 
+# Sketch of a text that tells near copies: least hashes of its five-word runs in so many parts of the
+# hash space, so many of which side by side make a key, and the share in which near copies agree.
+SKETCH = 32
+BAND = 4
+AGREEMENT = 0.72
+HOPS = 3
+
 # Leaves and lines whose hashes fit this many bytes are broadcast, others are joined by shuffle.
 MAX_BROADCAST_BYTES = 32 << 20
 
@@ -162,12 +168,62 @@ def short_lines(lines: DataFrame, *, min_documents: int) -> DataFrame:
     return held.where(F.col("n") >= min_documents).select("line", F.col("line").alias("unit"))
 
 
+def copy_groups(texts: DataFrame) -> DataFrame:
+    """`doc`, `group` for stored texts `doc`, `text` (distinct docs, no nulls), by DataFrame
+    functions only: near copies, with about 0.8 of their five-word runs in common, are in one group,
+    whose name is one of them.
+
+    Texts with an equal key meet its first text; those whose sketch agrees with that text's take its
+    group, and groups of groups are followed `HOPS` times. A text under five words is one run.
+    """
+    words = F.filter(F.split("text", f"[{SPACES}]+"), lambda w: w != "")
+    runs = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))),
+        lambda at: F.xxhash64(F.slice("words", at, 5)),
+    )
+    part = F.pmod("run", F.lit(SKETCH))
+    sketches = stored(
+        texts.select("doc", words.alias("words"))
+        .select("doc", F.explode(runs).alias("run"))
+        .groupBy("doc")
+        .agg(F.array(*[F.min(F.when(part == k, F.col("run"))) for k in range(SKETCH)]).alias("sketch")),
+        "sketches",
+    )
+    # Parts without a run, as short texts have them, tell nothing.
+    bands = [F.slice("sketch", k + 1, BAND) for k in range(0, SKETCH, BAND)]
+    keys = F.array_compact(
+        F.array(
+            *[
+                F.when(F.size(F.array_compact(band)) > 0, F.xxhash64(F.lit(k), band))
+                for k, band in enumerate(bands)
+            ]
+        )
+    )
+    rows = sketches.select("doc", "sketch", F.explode(keys).alias("key"))
+    firsts = rows.groupBy("key").agg(F.min(F.struct("doc", "sketch")).alias("first"))
+    both = F.zip_with("sketch", "first.sketch", lambda a, b: F.when(a.isNotNull() | b.isNotNull(), a.eqNullSafe(b)))
+    agree = F.size(F.filter(both, lambda same: same))
+    links = stored(
+        rows.join(firsts, "key")
+        .where(agree >= AGREEMENT * F.size(F.array_compact(both)))
+        .groupBy("doc")
+        .agg(F.min("first.doc").alias("group")),
+        "copy-links",
+    )
+    groups = links
+    for _ in range(HOPS):
+        onward = links.select(F.col("doc").alias("group"), F.col("group").alias("next"))
+        groups = groups.join(onward, "group", "left").select(
+            "doc", F.coalesce("next", "group").alias("group")
+        )
+    return groups
+
+
 def _beyond_copies(
     documents: DataFrame, lines: DataFrame, doomed: DataFrame, heavy: DataFrame, *, text: str
 ) -> DataFrame:
     """`doc`, `at`, `tokens` of the lines in the documents `heavy` that recur beyond copies: near
-    copies of each other (as `near_duplicate_groups` has them) count as one holder of a line or
-    template. `doomed` has `line`, `unit` and `needed`."""
+    copies of each other (as `copy_groups` has them) count as one holder of a line or template. `doomed` has `line`, `unit` and `needed`."""
     own = stored(
         lines.join(heavy, "doc", "left_semi").join(doomed, "line").select(
             "doc", "at", "tokens", "unit"
@@ -183,10 +239,10 @@ def _beyond_copies(
         .join(holders.select("doc").distinct(), "doc", "left_semi")
         .dropDuplicates(["doc"])
     )
-    groups = near_duplicate_groups(stored(texts, "holder-texts"), key="doc")
+    groups = copy_groups(stored(texts, "holder-texts"))
     wide = (
-        holders.join(groups.select("doc", "component_id"), "doc")
-        .select("unit", "needed", "component_id")
+        holders.join(groups, "doc")
+        .select("unit", "needed", "group")
         .distinct()
         .groupBy("unit", "needed")
         .agg(F.count("*").alias("n"))
