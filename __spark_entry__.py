@@ -110,6 +110,10 @@ def _topics(comments: DataFrame) -> DataFrame:
     return O.lda_topics(comments, seed=20240101, min_documents=0.05)
 
 
+def _topic_checks(comments: DataFrame) -> DataFrame:
+    return O.topic_checks(comments, seed=20240101, min_documents=0.05, max_iter=5)
+
+
 # --- files and tables --------------------------------------------------------------------
 
 # Files of a large dataset: Spark's CSV reader takes one task for each.
@@ -378,6 +382,7 @@ def queries() -> dict[str, Query]:
         "topic_vocabulary": _report(_vocabulary),
         "topic_vocabulary_counts": _report(_vocabulary_counts),
         "topics_lda": _report(_topics),
+        "topics_lda_checks": _report(_topic_checks),
         "weekly_heatmap": _report(lambda c: O.weekly_heatmap(O.hourly_pattern(c))),
         "community_ranking": _report(lambda c: O.community_ranking(O.community_comparison(c))),
         "recent_alerts": _report(lambda c: O.recent_alerts(O.activity_anomalies(c))),

@@ -4,7 +4,7 @@ from .engagement import community_controversy
 from .reporting import community_comparison
 from .sentiment import extreme_comments, extreme_score_floor, score_sentiment_matrix, sentiment_check
 from .temporal import activity_anomalies, daily_trend, hourly_pattern
-from .topics import lda_topics, topic_vocabulary
+from .topics import fit_topics, lda_topics, topic_checks, topic_vocabulary
 from .views import (
     VIEW_NAMES,
     community_ranking,
@@ -26,12 +26,14 @@ __all__ = [
     "extreme_comments",
     "extreme_score_floor",
     "hourly_pattern",
+    "fit_topics",
     "lda_topics",
     "recent_alerts",
     "register_views",
     "score_sentiment_matrix",
     "sentiment_check",
     "top_words_by_sentiment",
+    "topic_checks",
     "topic_vocabulary",
     "weekly_heatmap",
     "word_count",

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA
+import math
+from dataclasses import dataclass
+
+from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from ..storage import durable
+from ..storage import stored
 
 
 def _documents(comments: DataFrame) -> DataFrame:
@@ -64,7 +68,27 @@ def topic_vocabulary(
     return _vocabulary(_documents(comments), size, min_documents, count_terms, language)
 
 
-def lda_topics(
+@dataclass(frozen=True)
+class Fit:
+    """Fitted topics, the terms by index, and the stored vectors: of the documents that the fit has
+    seen, and of those that were kept out of it."""
+
+    model: LDAModel
+    terms: list[str]
+    seen: DataFrame
+    kept_out: DataFrame
+
+
+# Ids are dealt into so many parts by their hash.
+PARTS = 10_000
+
+
+def _part(id_column: str) -> Column:
+    """Part of a document, the same in every run and wherever it is stored."""
+    return F.pmod(F.xxhash64(id_column), F.lit(PARTS))
+
+
+def fit_topics(
     comments: DataFrame,
     *,
     seed: int,
@@ -72,26 +96,22 @@ def lda_topics(
     max_iter: int = 10,
     vocabulary_size: int = 3000,
     min_documents: float = 500,
-    terms_per_topic: int = 20,
     count_terms: bool = False,
     language: str = "english",
     id_column: str = "id",
-    partitions: int = 64,
-    sampling_rate: float = 0.05,
-) -> DataFrame:
-    """Topics by online variational Bayes, each with its heaviest terms and their weights.
-
-    Each iteration of the fit looks at a sample of `sampling_rate` of the documents, drawn per
-    partition; 1 looks at all. Documents are dealt over `partitions` by `id_column` and ordered by
-    it, so that the seed gives the same samples whatever the files' splits and the cores are.
-
-    A document counts a term once, unless `count_terms`. Fitting runs jobs: one for the
-    vocabulary, which alone comes to the driver (`vocabulary_size` terms), one that stores the
-    sparse vectors, and one per iteration over the stored vectors.
+    sampling_rate: float = 1.0,
+    held_out_share: float = 0.0,
+) -> Fit:
+    """Topics by online variational Bayes.
+
+    The fit looks at the share `sampling_rate` of the documents, chosen by a hash of their id, at
+    all of these in each iteration, so nothing is drawn by partition and the seed alone decides.
+    `held_out_share` keeps other documents out of it. A document counts a term once, unless
+    `count_terms`. Fitting runs jobs: one for the vocabulary, which alone comes to the driver
+    (`vocabulary_size` terms), one that stores the sparse vectors, and one per iteration.
     """
-    documents = (
-        comments.where(F.col("body").isNotNull())
-        .select(F.col(id_column).alias("id"), tokens(F.col("body")).alias("terms"))
+    documents = comments.where(F.col("body").isNotNull()).select(
+        _part(id_column).alias("part"), tokens(F.col("body")).alias("terms")
     )
     vocabulary = _vocabulary(documents, vocabulary_size, min_documents, count_terms, language)
     terms = [row["term"] for row in vocabulary.collect()]
@@ -102,21 +122,64 @@ def lda_topics(
     vectorizer = CountVectorizerModel.from_vocabulary(
         terms, inputCol="terms", outputCol="features"
     ).setBinary(not count_terms)
-    vectors = durable(
-        vectorizer.transform(documents)
-        .select("id", "features")
-        .repartition(partitions, "id")
-        .sortWithinPartitions("id")
-        .select("features")
-    )
+    vectors = stored(vectorizer.transform(documents).select("part", "features"), "vectors")
+    first_held_out = round(PARTS * (1 - held_out_share))
+    seen = vectors.where(F.col("part") < round(first_held_out * sampling_rate)).select("features")
     model = LDA(
         k=num_topics, maxIter=max_iter, optimizer="online", seed=seed, featuresCol="features",
-        subsamplingRate=sampling_rate,
-    ).fit(vectors)
+        subsamplingRate=1.0,
+    ).fit(seen)
+    kept_out = vectors.where(F.col("part") >= first_held_out).select("features")
+    return Fit(model, terms, seen, kept_out)
+
 
-    lookup = F.lit(terms)
-    return model.describeTopics(terms_per_topic).select(
+def lda_topics(comments: DataFrame, *, terms_per_topic: int = 20, **options) -> DataFrame:
+    """Topics of `fit_topics`, each with its heaviest terms and their weights."""
+    return _described(fit_topics(comments, **options), terms_per_topic)
+
+
+def _described(fit: Fit, terms_per_topic: int) -> DataFrame:
+    lookup = F.lit(fit.terms)
+    return fit.model.describeTopics(terms_per_topic).select(
         "topic",
         F.transform("termIndices", lambda i: F.element_at(lookup, i + 1)).alias("terms"),
         "termWeights",
     )
+
+
+def _term_sums(vectors: DataFrame, size: int) -> list[float]:
+    """How often each term occurs in all vectors: one number a term."""
+    if vectors.isEmpty():
+        return [0.0] * size
+    return vectors.select(Summarizer.sum(F.col("features"))).first()[0].toArray().tolist()
+
+
+def topic_checks(
+    comments: DataFrame, *, terms_per_topic: int = 20, held_out_share: float = 0.1, **options
+) -> DataFrame:
+    """A row per topic that tells whether the fit holds: `distinct_terms` among its heaviest ones,
+    how many of them are `known_terms` of the vocabulary, whether weights fall, and whether the
+    topics explain documents kept out of the fit better than a single topic does.
+
+    That compares the variational bound of the held-out likelihood with the exact likelihood under
+    the terms' shares in all other documents, so the topics have to make up for the bound's slack.
+    """
+    fit = fit_topics(comments, held_out_share=held_out_share, **options)
+    size = len(fit.terms)
+    seen, kept_out = _term_sums(fit.seen, size), _term_sums(fit.kept_out, size)
+    total = sum(seen) + size
+    single = sum(n * math.log((m + 1) / total) for n, m in zip(kept_out, seen))
+    better = bool(sum(kept_out)) and fit.model.logLikelihood(fit.kept_out) > single
+    vocabulary = F.lit(fit.terms)
+    falls = F.zip_with(
+        F.slice("termWeights", 1, terms_per_topic - 1),
+        F.slice("termWeights", 2, terms_per_topic - 1),
+        lambda a, b: a >= b,
+    )
+    return _described(fit, terms_per_topic).select(
+        "topic",
+        F.size(F.array_distinct("terms")).alias("distinct_terms"),
+        F.size(F.array_intersect("terms", vocabulary)).alias("known_terms"),
+        F.forall(falls, lambda x: x).alias("falling_weights"),
+        F.lit(better).alias("better_than_one_topic"),
+    )

@@ -379,6 +379,12 @@ FROM (
 GROUP BY 1, 2
 """
 
+TOPIC_CHECKS = """
+SELECT CAST(topic AS INTEGER) AS topic, CAST(20 AS INTEGER) AS distinct_terms,
+       CAST(20 AS INTEGER) AS known_terms, true AS falling_weights, true AS better_than_one_topic
+FROM range(5) AS topics(topic)
+"""
+
 ORACLES = {
     "daily_trend": _with(DAILY),
     "hourly_pattern": _with(PATTERN.format(times="timed")),
@@ -398,6 +404,7 @@ ORACLES = {
     "cleaned_text": _with(CLEANED),
     "topic_vocabulary": _with(_vocabulary("count(DISTINCT id)"), _TERMS),
     "topic_vocabulary_counts": _with(_vocabulary("count(*)"), _TERMS),
+    "topics_lda_checks": TOPIC_CHECKS,
     "weekly_heatmap": _with(HEATMAP),
     "community_ranking": _with(RANKING),
     "recent_alerts": _with(ALERTS),
