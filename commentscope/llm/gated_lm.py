@@ -34,7 +34,7 @@ from .common import even_steps, shuffle_partitions, stored, table, text_bytes_of
 LISTED = 1 << 16
 NETWORK_WORDS = 1024
 FREQUENCY_CLASSES = 24
-UNITS = 16
+UNITS = 12
 
 # Shape classes: by length in bytes, up to each of these or beyond, and by what else than letters
 # a word holds.
