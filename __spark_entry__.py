@@ -362,6 +362,9 @@ def queries() -> dict[str, Query]:
         "hourly_pattern_unknown_times": _report(_pattern_unknown_times),
         "activity_anomalies": _report(O.activity_anomalies),
         "activity_anomalies_sigma2": _report(lambda c: O.activity_anomalies(c, threshold=2)),
+        "activity_anomalies_blocks": _report(
+            lambda c: O.activity_anomalies(c, threshold=2, block_rows=100)
+        ),
         "sentiment_by_score_band": _report(O.sentiment_check),
         "score_sentiment_matrix": _report(O.score_sentiment_matrix),
         "extreme_comments": _report(lambda c: O.extreme_comments(c, limit=500)),

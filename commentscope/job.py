@@ -21,6 +21,7 @@ from commentscope.plans.full_run import publish_run, register_result_views, run_
 from commentscope.session import create_session
 from commentscope.sinks import jdbc_writer, version_writer
 from commentscope.sources import land_checked, land_raw, landed
+from commentscope.storage import scratch
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -42,7 +43,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def run_job(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
-    """Run the job; returns the publishing status where tables were asked for."""
+    """Run the job; returns the publishing status where tables were asked for. Scratch tables of
+    the job are gone when it returns."""
+    with scratch(spark):
+        return _run_job(spark, args)
+
+
+def _run_job(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     base = args.base.rstrip("/")
     landed_at = f"{base}/bronze/{args.run}"
     if args.check_rows:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import DAY_NAMES, NORMAL
 from ..functions.labels import alert_label, day_name
 from ..plans import summary as S
+from .frames import trailing
 
 
 def daily_trend(comments: DataFrame) -> DataFrame:
@@ -46,11 +47,13 @@ def activity_anomalies(
     *,
     window_hours: int = 24,
     threshold: float = 3,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Hours whose volume leaves the trailing mean by more than `threshold` deviations.
 
     The frame is the hour itself and the `window_hours` hours before it that have comments.
     The window runs in one task, over a row per clock hour (8,784 a year), never over comments.
+    With `block_rows`, it runs in blocks of so many hours instead; the hours are stored for that.
     The hour takes part in its own mean, so |deviation| is at most (n - 1) / sqrt(n) in a frame
     of n rows: a threshold of 3 needs 11 rows or more.
     """
@@ -59,12 +62,13 @@ def activity_anomalies(
         F.col(S.MARK).alias("volumen"),
         S.mean_sentiment().alias("sentiment_promedio"),
     )
-    trailing = Window.orderBy("periodo").rowsBetween(-window_hours, Window.currentRow)
-    scored = hours.select(
-        "*",
-        F.avg("volumen").over(trailing).alias("media_movil"),
-        F.stddev_samp("volumen").over(trailing).alias("std_movil"),
-    ).select(
+    measures = {"media_movil": F.avg("volumen"), "std_movil": F.stddev_samp("volumen")}
+    if block_rows:
+        framed = trailing(hours, ["periodo"], window_hours, measures, block_rows=block_rows)
+    else:
+        frame = Window.orderBy("periodo").rowsBetween(-window_hours, Window.currentRow)
+        framed = hours.select("*", *[m.over(frame).alias(name) for name, m in measures.items()])
+    scored = framed.select(
         "*",
         # A constant frame has no spread, and so no deviation.
         F.try_divide(F.col("volumen") - F.col("media_movil"), "std_movil").alias("desviacion_std"),

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
@@ -19,35 +19,55 @@ def _documents(comments: DataFrame) -> DataFrame:
     return comments.where(F.col("body").isNotNull()).select(tokens(F.col("body")).alias("terms"))
 
 
-def _term_counts(documents: DataFrame, count_terms: bool) -> DataFrame:
-    """Documents and occurrences per term; without `count_terms` a document counts a term once."""
-    once = F.array_distinct("terms")
+# Stands for all documents among the terms, where a share of them is asked for. No token is empty.
+ALL = ""
+
+
+def _term_counts(documents: DataFrame, count_terms: bool, stop_words: list[str], total: bool) -> DataFrame:
+    """Documents and occurrences per term; without `count_terms` a document counts a term once.
+    With `total`, a term `ALL` counts the documents in the same pass."""
     if not count_terms:
-        per_term = documents.select(F.explode(once).alias("term")).groupBy("term")
+        # Distinct terms without the stop words, in one pass over a document's terms.
+        once = F.array_except("terms", F.lit(stop_words))
+        listed = F.concat(F.array(F.lit(ALL)), once) if total else once
+        per_term = documents.select(F.explode(listed).alias("term")).groupBy("term")
         return per_term.agg(F.count("*").alias("documents")).withColumn(
             "occurrences", F.col("documents")
         )
     # Each document lists its terms, and after them each distinct term once more.
     listed = documents.select(
         F.size("terms").alias("length"),
-        F.posexplode(F.concat("terms", once)).alias("place", "term"),
+        F.posexplode(F.concat("terms", F.array_distinct("terms"))).alias("place", "term"),
     )
-    return listed.groupBy("term").agg(
-        F.count_if(F.col("place") >= F.col("length")).alias("documents"),
-        F.count_if(F.col("place") < F.col("length")).alias("occurrences"),
+    return (
+        listed.groupBy("term")
+        .agg(
+            F.count_if(F.col("place") >= F.col("length")).alias("documents"),
+            F.count_if(F.col("place") < F.col("length")).alias("occurrences"),
+        )
+        .where(~F.col("term").isin(stop_words))
     )
 
 
 def _vocabulary(
     documents: DataFrame, size: int, min_documents: float, count_terms: bool, language: str
 ) -> DataFrame:
-    if min_documents < 1:
-        min_documents = min_documents * documents.count()
     stop_words = StopWordsRemover.loadDefaultStopWords(language)
+    order = [F.desc("occurrences"), "term"]
+    share = min_documents < 1
+    if not share or count_terms:
+        # Occurrences and documents rank terms differently, so the cut needs the total before it.
+        least = documents.agg(F.count("*") * min_documents).scalar() if share else F.lit(min_documents)
+        counts = _term_counts(documents, count_terms, stop_words, total=False)
+        return counts.where(F.col("documents") >= least).orderBy(*order).limit(size)
+    # No term stands in more documents than there are, so the total leads the list.
+    leading = _term_counts(documents, False, stop_words, total=True).orderBy(*order).limit(size + 1)
+    total = F.max(F.when(F.col("term") == ALL, F.col("documents"))).over(Window.partitionBy())
     return (
-        _term_counts(documents, count_terms)
-        .where((F.col("documents") >= min_documents) & ~F.col("term").isin(stop_words))
-        .orderBy(F.desc("occurrences"), "term")
+        leading.withColumn("least", total * min_documents)
+        .where((F.col("documents") >= F.col("least")) & (F.col("term") != ALL))
+        .drop("least")
+        .orderBy(*order)
         .limit(size)
     )
 
@@ -63,7 +83,8 @@ def topic_vocabulary(
     """The `size` most frequent terms, without stop words, that occur in at least
     `min_documents` documents.
 
-    Below 1, `min_documents` is a share of the documents. Equal counts go by term.
+    Below 1, `min_documents` is a share of the documents, which are counted in the same pass; with
+    `count_terms` in a second one, which splits no text. Equal counts go by term. No job runs here.
     """
     return _vocabulary(_documents(comments), size, min_documents, count_terms, language)
 

@@ -65,10 +65,7 @@ OUTPUTS: dict[str, Output] = {
 TOPICS_TABLE = "temas_lda"
 TOPICS_FOLDER = "analytics/text/temas_lda"
 
-SUMMARIES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "hours": S.by_hour,
-    "communities": S.by_community,
-}
+SUMMARIES = ("hours", "communities")
 
 
 def output_paths(base_path: str, run_name: str, *, topics: bool = False) -> dict[str, str]:
@@ -94,7 +91,7 @@ def run_reports(
     `topics` holds the arguments of `lda_topics` (at least a seed) and adds the topics, which
     hold arrays and so cannot be stored as CSV.
 
-    Comments are scanned once per summary and once per report on single comments or texts.
+    Comments are scanned once for both summaries and once per report on single comments or texts.
     Summaries go to storage, so the seven reports on them read a small table that outlives any
     executor, and nothing is cached. Independent jobs run at the same time, so that the tail of
     one does not leave the cluster idle.
@@ -104,12 +101,13 @@ def run_reports(
     spark = comments.sparkSession
     paths = output_paths(base_path, run_name, topics=topics is not None)
 
-    def store_summary(name: str) -> DataFrame:
-        """Write a summary and read it back by its known schema."""
-        path = f"{base_path.rstrip('/')}/summaries/{name}/{run_name}"
-        summary = SUMMARIES[name](comments)
-        summary.write.mode("overwrite").parquet(path)
-        return spark.read.schema(summary.schema).parquet(path)
+    def store_summaries() -> dict[str, DataFrame]:
+        """Write both summaries and read them back by their known schema, each from its folder."""
+        path = f"{base_path.rstrip('/')}/summaries/{run_name}"
+        both = S.by_hour_and_community(comments)
+        both.write.mode("overwrite").partitionBy("summary").parquet(path)
+        read = spark.read.schema(both.schema).parquet(path)
+        return {name: S.part_of(read, name) for name in SUMMARIES}
 
     def store(table: str, source: DataFrame) -> None:
         write_result(OUTPUTS[table].build(source), paths[table], fmt=fmt)
@@ -122,7 +120,7 @@ def run_reports(
         def submit(job: Callable, *args):
             return pool.submit(inheritable_thread_target(spark)(job), *args)
 
-        summaries = {name: submit(store_summary, name) for name in SUMMARIES}
+        summaries = submit(store_summaries)
         jobs = [
             submit(store, table, comments)
             for table, out in OUTPUTS.items()
@@ -130,7 +128,7 @@ def run_reports(
         ]
         if topics is not None:
             jobs.append(submit(store_topics))
-        ready = {name: future.result() for name, future in summaries.items()}
+        ready = summaries.result()
         jobs += [
             submit(store, table, ready[out.source])
             for table, out in OUTPUTS.items()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,15 +25,43 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or context.getCheckpointDir()
 
 
+# Local property that names the open scope; Spark hands it on to threads that a job starts.
+SCOPE = "commentscope.scratch"
+
+
+def _root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/commentscope"
+
+
 def new_dir(spark: SparkSession, purpose: str) -> str:
-    """Path of a fresh folder below the shared one."""
-    return f"{shared_dir(spark).rstrip('/')}/commentscope/{purpose}-{uuid.uuid4().hex}"
+    """Path of a fresh folder below the shared one, within the open scope if there is one."""
+    scope = spark.sparkContext.getLocalProperty(SCOPE)
+    folder = f"{_root(spark)}/{scope}" if scope else _root(spark)
+    return f"{folder}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scope whose scratch tables go when it ends, by an error too.
+
+    What is computed within must be written, or collected, before the scope ends. A scope within
+    a scope ends by itself; scopes of other threads are left alone.
+    """
+    context = spark.sparkContext
+    outer = context.getLocalProperty(SCOPE)
+    scope = f"{outer}/scope-{uuid.uuid4().hex}" if outer else f"scope-{uuid.uuid4().hex}"
+    context.setLocalProperty(SCOPE, scope)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(SCOPE, outer)
+        remove(spark, f"{_root(spark)}/{scope}")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """`df` written to shared storage, with its lineage cut."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, in whatever store it is; nothing happens where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

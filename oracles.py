@@ -397,6 +397,7 @@ ORACLES = {
     "community_controversy": _with(CONTROVERSY),
     "community_comparison": _with(COMPARISON),
     "activity_anomalies_from_summary": _with(_anomalies(2)),
+    "activity_anomalies_blocks": _with(_anomalies(2)),
     "score_sentiment_matrix_from_summary": _with(MATRIX),
     "community_comparison_from_summary": _with(COMPARISON),
     "top_words_by_sentiment": _with(TOP_WORDS),

@@ -80,6 +80,24 @@ def test_merging_a_summary_needs_no_further_scan(stored_comments, tmp_path):
     assert scanned_columns(text) <= {"hour", "comment_count", "sentiment_sum", "sentiment_count"}
 
 
+def test_both_summaries_take_one_narrow_scan(stored_comments):
+    text = plan(S.by_hour_and_community(stored_comments))
+    assert text.count("ReadSchema") == 1
+    assert scanned_columns(text) == NARROW[O.community_comparison]
+    assert "partial_" in text
+
+
+def test_merging_without_a_spread_needs_no_window(stored_comments):
+    hours = S.by_hour(stored_comments)
+    assert "Window" not in plan(O.daily_trend(hours))
+    assert "Window" in plan(O.community_comparison(S.by_community(stored_comments)))
+
+
+def test_vocabulary_by_share_takes_one_text_pass(stored_comments):
+    text = plan(O.topic_vocabulary(stored_comments, min_documents=0.05))
+    assert text.count("ReadSchema") == 1
+
+
 def test_nothing_runs_in_python(stored_comments):
     for report in [*NARROW, O.extreme_comments, O.top_words_by_sentiment, O.topic_vocabulary]:
         text = plan(report(stored_comments))

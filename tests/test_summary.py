@@ -1,6 +1,7 @@
 """Reports from a summary equal reports from comments."""
 
 import random
+import statistics
 
 import pytest
 
@@ -70,6 +71,27 @@ def test_summaries_merge_again(odd_comments):
     )
 
 
+def test_spread_far_from_zero(make_comments):
+    """Values near a billion, in parts whose means differ, and equal values that no sum holds exactly."""
+    far = [{"subreddit_name": "far", "score": i % 300 - 100, "sentiment": 1e9 + i % 7} for i in range(700)]
+    flat = [{"subreddit_name": "flat", "score": i % 300 - 100, "sentiment": 0.1} for i in range(701)]
+    parts = S.by_community(make_comments(far + flat))
+    assert parts.count() > 4
+    merged = S.summarise(parts, [S.key(parts, "subreddit_name")])
+    merged = {r["subreddit_name"]: r for r in merged.select("*", S.sentiment_deviation().alias("sd")).collect()}
+    assert merged["far"]["sd"] == pytest.approx(statistics.stdev(i % 7 for i in range(700)), abs=1e-6)
+    assert merged["flat"]["sd"] == 0
+
+
+def test_both_summaries_in_one_scan(odd_comments):
+    both = S.by_hour_and_community(odd_comments)
+    for name, alone in (("hours", S.by_hour), ("communities", S.by_community)):
+        part, expected = S.part_of(both, name), alone(odd_comments)
+        assert sorted(part.columns) == sorted(expected.columns)
+        assert values(part.select(expected.columns)) == values(expected)
+    assert S.by_hour_and_community(odd_comments.limit(0)).collect() == []
+
+
 def test_labels_per_community_stay_few(stored_comments):
     rows = S.by_community(stored_comments).groupBy("subreddit_name").count().collect()
     assert max(r["count"] for r in rows) <= 100
