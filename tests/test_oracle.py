@@ -28,6 +28,11 @@ def test_only_the_topics_have_no_sql():
     assert set(ORACLES) <= set(QUERIES)
 
 
+# Whether topics beat a single one is asked where there are texts enough: on the 893 that sf0.001 has
+# for the fit they do not, whatever the number of iterations.
+LARGER = {"topics_lda_checks": "/root/testdata/sf0.01"}
+
+
 def rows(values, columns):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(repr([row[i] for i in order]) for row in values)
@@ -35,7 +40,7 @@ def rows(values, columns):
 
 @pytest.mark.parametrize("name", ORACLES)
 def test_query(spark, duck, sf_dir, name):
-    got = QUERIES[name](spark, sf_dir)
+    got = QUERIES[name](spark, LARGER.get(name, sf_dir))
     expected = duck.sql(ORACLES[name])
     assert sorted(got.columns) == sorted(expected.columns)
     wanted = rows(expected.fetchall(), expected.columns)
