@@ -438,12 +438,13 @@ def _read_texts(documents: DataFrame, network: Network, text: str, keep: list[st
             share = np.where(outside, log_count - np.log10(words.mass[shape]), 0.0)
             score = np.zeros(len(codes))
             state = np.zeros((LANES, UNITS), np.float32)
+            symbol, group = symbol.astype(np.int32)[codes], group.astype(np.int32)[codes]
             for place, opens, held in lanes(first):
                 state = state[: place.shape[1]]
-                at = place[held]
-                before, state = network.read(symbol[codes[place]], opens, state)
-                logs = network.output(before[held], symbol[codes[at]], group[codes[at]])
-                score[at] = logs / np.log(10) + share[codes[at]]
+                symbols = symbol[place]
+                before, state = network.read(symbols, opens, state)
+                score[place[held]] = network.output(before[held], symbols[held], group[place][held])
+            score = score / np.log(10) + share[codes]
             sums = lambda values: np.add.reduceat(values, first[:-1])
             rare = np.flatnonzero(listed[codes] < 0)
             owner = np.searchsorted(first, rare, "right") - 1
