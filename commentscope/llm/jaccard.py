@@ -10,12 +10,15 @@ one shingle for each sub-class. Candidates that share a signature are verified o
 
 Candidates are not all pairs of a group: every document is first compared with the least document
 of its signature's group (the leader). Those linked to the leader need no comparison with each
-other, and neither do any that links have joined to one component by then. Nodes of a group that
-are in other components are compared with the group, except where sizes, the triangle inequality
-of the Jaccard distance by the known distances to the leader, or sketches that differ in more bits
-than linked sets can differ in members rule a link out. So no
-link between components is lost, and a group of copies costs as many comparisons as it has
-members.
+other, and neither do any that links have joined to one component by then. What is left is asked in
+rounds. In each one, a group's nodes outside its largest component are odd; some of them, 16 times
+as many as in the round before, are compared with the nodes of the group's other components, and
+components are joined by what is found. A group is done when all its odd nodes have been asked in
+one round, or when it has one component. Sizes, the triangle inequality of the Jaccard distance by
+the known distances to the leader, and sketches that differ in more bits than linked sets can
+differ in members rule a link out before. So no link between components is lost, a group of copies
+costs about as many comparisons as it has members, and rounds grow with the logarithm of the
+largest number of odd nodes. Large groups are dealt to several tasks.
 
 Documents with equal shingle sets are one node from the start. The classes only steer how long
 prefixes are and never decide a link: they come from a table of fixed-width cells, where a
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, constants, mix, steps, stored, table
+from .common import Words, constants, mix, shuffle_partitions, steps, stored, table
 from .components import connected_components
 
 SHINGLE = 5
@@ -73,6 +76,11 @@ SKETCH_WORDS = 16
 # Least signatures that a node carries into the join of nodes that share one.
 FIRST_SIGNS = 16
 
+# Odd nodes of a group that the first round asks, and by how many times more each further round
+# asks; nodes of a group that one task holds against the odd ones.
+ASKED = 16
+GROUP_ROWS = 1024
+
 
 def parity_sketch(tokens: np.ndarray) -> np.ndarray:
     """Bits that tell whether an odd number of the set's hashes falls on them. Two sets differ in
@@ -246,20 +254,22 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
 
+    def sets_of(batch: pa.RecordBatch, side: str) -> tuple[np.ndarray, list[np.ndarray]]:
+        """A number for each row's node, and the shingles of each node by number."""
+        number = batch.column(side).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        first = np.unique(number, return_index=True)[1]
+        return number, shingle_sets(batch.column(f"text_{side}").take(pa.array(first)))
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, kept = None, None
         for batch in steps(batches, "text_b"):
-            rows = []
-            for a, b, at in zip(
-                batch.column("a").to_pylist(),
-                shingle_sets(batch.column("text_b")),
-                range(batch.num_rows),
-            ):
-                if a != last:
-                    last, kept = a, shingle_sets(batch.column("text_a").slice(at, 1))[0]
-                common = len(np.intersect1d(kept, b, assume_unique=True))
-                rows.append((common, len(kept), len(b)))
-            counts = np.array(rows, np.int64)
+            (a, a_sets), (b, b_sets) = sets_of(batch, "a"), sets_of(batch, "b")
+            counts = np.array(
+                [
+                    (len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))
+                    for x, y in zip(map(a_sets.__getitem__, a), map(b_sets.__getitem__, b))
+                ],
+                np.int64,
+            )
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), *map(pa.array, counts.T)],
                 ["a", "b", "common", "n_a", "n_b"],
@@ -326,46 +336,74 @@ def links_between(signed: DataFrame, similarity: int) -> DataFrame:
     )
     found = first.where("linked").select(F.col("leader").alias("a"), F.col("node").alias("b"))
 
-    # What is left: nodes of a group that are in other components by now.
+    # What is left: groups with nodes of several components.
     parts = stored(connected_components(found), "parts")
-    placed = stored(
-        members.join(first, ["leader", "node"], "left")
-        .join(parts, "node", "left")
-        .select(
-            "sign", "node", "size", "distance",
-            F.coalesce("linked", F.lit(False)).alias("linked"),
-            F.coalesce("component", "node").alias("component"),
-        ),
-        "placed",
-    )
+    left = _parted(
+        members.join(first, ["leader", "node"], "left").select("sign", "node", "size", "distance"), parts
+    )
+    # A node has no more signatures here than its row of `signed` lists.
+    first_signs = left.groupBy("node").agg(
+        F.slice(F.sort_array(F.collect_list("sign")), 1, FIRST_SIGNS).alias("first_signs")
+    )
+    sketches = signed.select("node", "sketch").dropDuplicates(["node"])
+    open_ = stored(left.join(first_signs, "node").join(sketches, "node"), "open")
+    asked = ASKED
+    while not open_.isEmpty():
+        rest = stored(_asked(open_, asked, similarity).where(fit("odd_size", "size")).select("a", "b").distinct(), "rest")
+        second = compared(rest, one_text(rest)).where(linked).select("a", "b")
+        found = stored(found.unionByName(second), "found")
+        more = open_.where(F.col("n_odd") > asked).drop("component", "own", "n_odd", "n")
+        if more.isEmpty():
+            break
+        parts = stored(connected_components(found), "parts")
+        open_ = stored(_parted(more, parts), "open")
+        asked *= ASKED
+    return found
+
+
+def _parted(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """`members` of groups (`sign`, `node`) whose nodes are in several components, with the node's
+    `component`, the largest one of its group (`own`), and how many nodes the group has (`n`) and
+    how many of them are outside `own` (`n_odd`)."""
+    placed = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = (
-        placed.groupBy("sign")
+        placed.groupBy("sign", "component")
+        .agg(F.count("*").alias("held"))
+        .groupBy("sign")
         .agg(
-            F.min("component").alias("least"), F.max("component").alias("most"),
-            F.max_by("component", F.col("linked")).alias("own"),
-            F.max("linked").alias("any"),
+            F.max(F.struct("held", "component")).alias("largest"),
+            F.sum("held").alias("n"),
+            F.count("*").alias("components"),
         )
-        .where("least != most")
-        .select("sign", F.when(F.col("any"), F.col("own")).alias("own"))
-    )
-    sketches = signed.select("node", "sketch").dropDuplicates(["node"])
-    undecided = stored(placed.join(split, "sign"), "undecided")
-    # A node has no more signatures here than its row of `signed` lists.
-    first_signs = undecided.groupBy("node").agg(
-        F.slice(F.sort_array(F.collect_list("sign")), 1, FIRST_SIGNS).alias("first_signs")
+        .where("components > 1")
+        .select("sign", "n", F.col("largest.component").alias("own"), (F.col("n") - F.col("largest.held")).alias("n_odd"))
     )
-    open_ = stored(undecided.join(first_signs, "node").join(sketches, "node"), "open")
-    # Nodes of the leader's component (`own`) need no comparison with each other; any pair of
-    # two components has a node outside it.
-    odd = open_.where(F.col("own").isNull() | (F.col("component") != F.col("own"))).select(
-        "sign",
-        F.col("node").alias("odd"),
-        F.col("size").alias("odd_size"),
-        F.col("distance").alias("odd_distance"),
-        F.col("component").alias("odd_component"),
-        F.col("sketch").alias("odd_sketch"),
-        F.col("first_signs").alias("odd_first_signs"),
+    return placed.join(split, "sign")
+
+
+def _asked(open_: DataFrame, asked: int, similarity: int) -> DataFrame:
+    """Pairs `a`, `b` of an odd node and a node of another component in one of its groups that may
+    be linked, with their sizes. Of `n_odd` odd nodes about `asked` are in pairs, or all if there
+    are no more; any pair of two components has an odd node."""
+    tasks = shuffle_partitions(open_.sparkSession)
+    # The same nodes come first in all groups, so that groups of alike nodes ask alike pairs.
+    place = F.pmod(F.xxhash64(F.lit(1), "node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    shards = F.ceil(F.col("n") / GROUP_ROWS).cast("int")
+    odd = (
+        open_.where((F.col("component") != F.col("own")) & (place * F.col("n_odd") < asked))
+        .select(
+            "sign",
+            F.explode(F.sequence(F.lit(0), shards - 1)).alias("shard"),
+            F.col("node").alias("odd"),
+            F.col("size").alias("odd_size"),
+            F.col("distance").alias("odd_distance"),
+            F.col("component").alias("odd_component"),
+            F.col("sketch").alias("odd_sketch"),
+            F.col("first_signs").alias("odd_first_signs"),
+        )
+        .repartition(tasks, "sign", "shard")
     )
+    dealt = open_.withColumn("shard", F.pmod(F.xxhash64("node"), shards).cast("int"))
     # Sets that are similar enough differ in few members, and so do their sketches in bits.
     bits = sum(
         F.bit_count(F.get("sketch", F.lit(k)).bitwiseXOR(F.get("odd_sketch", F.lit(k))))
@@ -374,22 +412,21 @@ def links_between(signed: DataFrame, similarity: int) -> DataFrame:
     few = (100 + similarity) * bits <= (100 - similarity) * (F.col("size") + F.col("odd_size"))
     reach = 1 - similarity / 100 + 1e-9
     near = F.coalesce(F.abs(F.col("odd_distance") - F.col("distance")) <= reach, F.lit(True))
-    inside = F.coalesce(F.col("component") == F.col("own"), F.lit(False))
     # Each group that two nodes share tells of them, with the same outcome; of those among the
-    # first signatures of both, the least does. So alike nodes are one pair, not one a group.
+    # first signatures of both, the least does, in this round or another. So alike nodes are one
+    # pair, not one a group.
+    first, odd_first = F.get("first_signs", F.lit(0)), F.get("odd_first_signs", F.lit(0))
     least_shared = F.array_min(F.array_intersect("first_signs", "odd_first_signs"))
-    told_here = F.coalesce(least_shared >= F.col("sign"), F.lit(True))
-    rest = (
-        odd.join(open_, "sign")
+    told_here = F.when(first == odd_first, first == F.col("sign")).otherwise(
+        F.coalesce(least_shared >= F.col("sign"), F.lit(True))
+    )
+    return (
+        dealt.repartition(tasks, "sign", "shard")
+        .join(odd, ["sign", "shard"])
         .where(F.col("odd_component") != F.col("component"))
-        .where(inside | (F.col("odd") < F.col("node")))
-        .where(near & fit("odd_size", "size") & few & told_here)
-        .select(F.least("odd", "node").alias("a"), F.greatest("odd", "node").alias("b"))
-        .distinct()
+        .where(near & few & told_here)
+        .select(F.least("odd", "node").alias("a"), F.greatest("odd", "node").alias("b"), "size", "odd_size")
     )
-    rest = stored(rest, "rest")
-    second = compared(rest, one_text(rest)).where(linked).select("a", "b")
-    return found.unionByName(second)
 
 
 def near_duplicate_groups(
