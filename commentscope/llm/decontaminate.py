@@ -6,7 +6,8 @@ marked again and again, found by running Karp-Rabin hashes; a mark is a tile. An
 document if its tiles cover the share `coverage` of its words, in whatever order they stand there.
 
 The benchmark is the stated query set: its seeds are broadcast in blocks of at most `BLOCK_BYTES`
-of text, one pass over the documents per block, so no side is shuffled.
+of text, one pass over the documents per block, so no side is shuffled. Between two passes the
+documents are stored, so executors hold one block at a time, however large the benchmark is.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, steps, table
+from .common import Words, steps, stored, table
 
 MIN_MATCH = 5
 COVERAGE = 0.8
@@ -172,7 +174,8 @@ def mark_leaks(
 
     Items with a null text or fewer than `min_match` words never leak; null and empty texts hold
     no leaks. Repeated items count one by one, repeated documents each on their own. A kept column
-    `leaks` is replaced.
+    `leaks` is replaced. Texts of any length are tiled whole; of matches of one length, the one that
+    starts first in the item is marked first, then the one that starts first in the text.
     """
     items = benchmark.where(F.col(item_text).isNotNull()).select(
         F.col(item_key).alias("id"), F.col(item_text).alias("text")
@@ -190,18 +193,19 @@ def mark_leaks(
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
         rows = own.orderBy("id", "text").collect()
-        marked = _mark_block(
-            marked, Seeds([r["id"] for r in rows], [r["text"] for r in rows], min_match),
-            min_match, coverage,
-        )
+        seeds = documents.sparkSession.sparkContext.broadcast(
+            Seeds([r["id"] for r in rows], [r["text"] for r in rows], min_match)
+        )
+        marked = _mark_block(marked, seeds, min_match, coverage)
+        if block < blocks - 1:
+            marked = stored(marked, "marked")
+            seeds.unpersist()
     return marked.select(
         *[F.col("kept")[name].alias(name) for name in keep if name != "leaks"], "leaks"
     )
 
 
-def _mark_block(documents: DataFrame, seeds: Seeds, min_match: int, coverage: float) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(seeds)
-
+def _mark_block(documents: DataFrame, shared: Broadcast, min_match: int, coverage: float) -> DataFrame:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
             words = Words(batch.column("text"))
