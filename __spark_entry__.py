@@ -116,15 +116,31 @@ def _topic_checks(comments: DataFrame) -> DataFrame:
 
 # --- files and tables --------------------------------------------------------------------
 
-# Files of a large dataset: Spark's CSV reader takes one task for each.
+# Least number of files of a large dataset: Spark's CSV reader takes one task for each.
 CSV_FILES = 16
 
+# Rows of a raw file, as texts of a few kB; a file is read by one task, however large the dataset.
+RAW_FILE_ROWS = 20_000
+RAW_COMPRESSION = "gzip"
 
-def _raw_csv(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
-    """The comments as a raw CSV folder with the dotted header, in `files` files if given."""
+
+def _write_raw(comments: DataFrame, path: str, rows_per_file: int = RAW_FILE_ROWS) -> None:
+    """Comments as raw CSV files, from where they are: texts are not shuffled for it."""
+    write_result(
+        comments.toDF(*RAW_HEADER),
+        path,
+        fmt="csv",
+        rows_per_file=rows_per_file,
+        compression=RAW_COMPRESSION,
+    )
+
+
+def _raw_csv(spark: SparkSession, sf_dir: str, files: int = 1) -> str:
+    """The comments as a raw CSV folder with the dotted header, in `files` files at least."""
     path = new_dir(spark, "raw-csv")
-    comments = _comments(spark, sf_dir).toDF(*RAW_HEADER)
-    write_result(comments.repartition(files, "id") if files else comments, path, fmt="csv")
+    comments = _comments(spark, sf_dir)
+    share = comments.count() // files if files > 1 else RAW_FILE_ROWS
+    _write_raw(comments, path, max(1, min(share, RAW_FILE_ROWS)))
     return path
 
 
@@ -146,8 +162,7 @@ def _dataset_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     comments = _comments(spark, sf_dir)
     odd = F.col("id").cast("bigint") % 2
     for folder, part in (("a", 0), ("b/c", 1)):
-        rows = comments.where(odd == part).toDF(*RAW_HEADER)
-        write_result(rows, f"{path}/{folder}", fmt="csv")
+        _write_raw(comments.where(odd == part), f"{path}/{folder}")
     return _landed_days(land_raw(spark, path, new_dir(spark, "bronze")))
 
 

@@ -20,12 +20,19 @@ def write_result(
     fmt: str = "parquet",
     mode: str = "overwrite",
     single_file: bool = False,
+    rows_per_file: int | None = None,
+    compression: str | None = None,
 ) -> None:
     """Write a result in the given format.
 
-    `single_file` sends the result through one task: for small reports only.
+    `single_file` sends the result through one task: for small reports only. `rows_per_file` lets a
+    task begin a new file after so many rows, which CSV needs to be read by many tasks.
     """
     writer = (df.coalesce(1) if single_file else df).write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.options(**CSV_OPTIONS)
+    if rows_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    if compression is not None:
+        writer = writer.option("compression", compression)
     writer.save(path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import COMMENTS, RAW_COMMENTS
-from .comments import CSV_OPTIONS, RECURSIVE, _one_file
+from .comments import CSV_OPTIONS, RECURSIVE, STORED, _one_file
 
 # What can be wrong with a record; the first that applies counts.
 UNCLOSED_QUOTE = "unclosed_quote"
@@ -126,6 +126,7 @@ def land_checked(
         .withColumn("outcome", F.when(rejected, REJECTED).otherwise(ACCEPTED))
         .write.mode("overwrite")
         .partitionBy("outcome")
+        .options(**STORED)
         .parquet(target)
     )
     return landed(spark, target)
