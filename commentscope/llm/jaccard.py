@@ -281,12 +281,16 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _groups(signed: DataFrame) -> DataFrame:
     """`sign`, `leader`, `node`, `size`: who shares a signature, without the leader, the least.
 
-    Signatures that the same nodes share are one: counts and two 64-bit sums of hashes tell.
+    Signatures that the same nodes share are one: counts and two 64-bit sums of hashes tell. Nodes
+    travel to their signatures once, for the groups and for the join with them.
     """
     held = (
-        signed.select("node", "size", "signatures")
-        .dropDuplicates(["node"])
+        signed.groupBy("node")
+        .agg(F.min("size").alias("size"), F.min("signatures").alias("signatures"))
         .select("node", "size", F.explode("signatures").alias("sign"))
+        # The join below asks for these too; asked for here, both its sides are one shuffle.
+        .where("sign IS NOT NULL AND node IS NOT NULL")
+        .repartition("sign")
     )
     groups = (
         held.groupBy("sign")

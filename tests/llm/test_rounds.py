@@ -58,3 +58,25 @@ def test_many_unlinked_nodes_of_a_group(spark, monkeypatch):
     links = [(a, b) for a in sets for b in sets if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     assert got == brute_components(links)
     assert len(set(got.values())) > 5
+
+
+def test_nodes_travel_to_their_signatures_once(spark, tmp_path):
+    kind = "node binary, text string, size bigint, sketch array<bigint>, signatures array<bigint>"
+    rows = [(n, "t", 3, [0], s) for n, s in [(b"a", [1, 2, 5]), (b"b", [1, 2]), (b"b", [1, 2]), (b"c", [2, 3])]]
+    spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/signed")
+    signed = spark.read.schema(kind).parquet(f"{tmp_path}/signed")
+    fixed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in fixed}
+    try:
+        for name, value in fixed.items():
+            spark.conf.set(name, value)
+        groups = jaccard._groups(signed)
+        plan = groups._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    own = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert sum("REPARTITION_BY_COL" in line for line in own) == 1
+    assert sum("hashpartitioning(node#" in line for line in own) == 1
+    found = sorted((r.sign, bytes(r.leader), bytes(r.node), r["size"]) for r in groups.collect())
+    assert found == [(1, b"a", b"b", 3), (2, b"a", b"b", 3), (2, b"a", b"c", 3)]
