@@ -46,22 +46,30 @@ def top_words_by_sentiment(
     By default only the plain space and dropped characters part words, so two words around a
     line break count as one; `join_lines=False` parts them at any whitespace.
     """
-    words = tokens(F.col("body"), min_length=min_length, join_lines=join_lines)
     sentiment = F.col("sentiment")
-    # Counting all classes per word shuffles one row a word, not one a word and class.
-    by_word = (
+    # No word reaches over a plain space, so the pieces between spaces are counted first, and each
+    # distinct piece is lowered and matched once. A word has no more characters than its piece.
+    # Counting all classes per piece shuffles one row a piece, not one a piece and class.
+    by_piece = (
         comments.select(
             (sentiment > sentiment_cut).alias("positive"),
             (sentiment < -sentiment_cut).alias("negative"),
-            F.explode(words).alias("word"),
+            F.explode(F.split("body", " ")).alias("piece"),
         )
-        .groupBy("word")
+        .where(F.length("piece") >= min_length)
+        .groupBy("piece")
         .agg(
             F.count_if("positive").alias("positive"),
             F.count_if("negative").alias("negative"),
             F.count("*").alias("total"),
         )
     )
+    words = tokens(F.col("piece"), min_length=min_length, join_lines=join_lines)
+    by_word = (
+        by_piece.select("positive", "negative", "total", F.explode(words).alias("word"))
+        .groupBy("word")
+        .agg(*[F.sum(name).alias(name) for name in ("positive", "negative", "total")])
+    )
     in_class = {
         POSITIVE_CLASS: F.col("positive"),
         NEGATIVE_CLASS: F.col("negative"),

@@ -78,6 +78,41 @@ def test_line_break_joins_words_unless_told_otherwise(make_comments):
     assert [(r["word"], r["frecuencia"]) for r in parted] == [("sunny", 2)]
 
 
+def test_words_are_matched_once_per_distinct_piece(spark, make_comments):
+    """The same counts as by matching every text whole, but texts are only parted at spaces before
+    the pieces are counted."""
+    rng = random.Random(7)
+    alphabet = "aabbÑñüU019  \t\n.-'ßÉ中😀İK"
+    df = make_comments(
+        [
+            {
+                "sentiment": rng.choice([-0.9, 0.0, 0.9, None]),
+                "body": "".join(rng.choices(alphabet, k=rng.randint(0, 80))),
+            }
+            for _ in range(300)
+        ]
+    )
+    for length, joined in ((1, True), (4, True), (2, False)):
+        words = tokens(F.col("body"), min_length=length, join_lines=joined)
+        whole = (
+            df.select("sentiment", F.explode(words).alias("word"))
+            .withColumn(
+                "sentiment_categoria",
+                F.when(F.col("sentiment") > 0.3, "Positivo")
+                .when(F.col("sentiment") < -0.3, "Negativo")
+                .otherwise("Neutral"),
+            )
+            .groupBy("sentiment_categoria", "word")
+            .agg(F.count("*").alias("frecuencia"))
+        )
+        found = O.top_words_by_sentiment(df, top_n=900, min_length=length, join_lines=joined)
+        assert sorted(found.drop("rank").collect()) == sorted(whole.collect())
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        counted = plan.index("count(if")
+        assert "regexp_extract_all" in plan[:counted]
+        assert "regexp_extract_all" not in plan[counted:]
+
+
 def test_large_ranking_is_the_same_in_shards(spark, make_comments, monkeypatch):
     from commentscope.operators import words
 
