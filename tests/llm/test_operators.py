@@ -643,3 +643,19 @@ def test_pipeline_odd(spark, odd, none, sf_dir):
             docs = corpus_pipeline.stored(stage(spark, docs, sf_dir), name)
             assert docs.columns == names
         corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count()
+
+
+def test_a_place_of_a_repeated_piece_is_joined_once(spark):
+    """Copies of a text must not multiply with the ranges of its pieces."""
+    rng = random.Random(31)
+    shared = "".join(rng.choices("abcdefgh", k=90))
+    texts = ["".join(rng.choices("abcdefgh", k=30)) + shared[k:] for k in range(0, 40, 4)] * 5
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    spans = suffix_dedup.repeated_spans(df, length=40, max_kinds=2)
+    plan = spans._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    (join,) = [i for i, line in enumerate(plan) if "Join Inner, ((anchor#" in line]
+    column = plan[join].index("Join")
+    sides = [line for line in plan[join + 1 :] if line[column : column + 3] in (":- ", "+- ")][:2]
+    assert len(sides) == 2 and all(line[column + 3 :].startswith("Aggregate [anchor#") or
+                                   line[column + 3 :].startswith("Aggregate [id#") for line in sides)
+    assert spans.count() == len(set(texts))
