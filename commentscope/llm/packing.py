@@ -35,6 +35,10 @@ SHARD_RESTS = 20_000
 MAX_CACHE_BYTES = 48 << 20
 ENTRY_BYTES = 200
 
+# A cache of so many bytes takes no further pieces: encoding a text that has new ones whole costs
+# less than keeping what may never come again.
+WARM_CACHE_BYTES = 2 << 20
+
 # White space other than single spaces and line breaks between other characters. In texts without
 # it, tokens start anew at each space and line break.
 _IRREGULAR = re.compile(
@@ -77,6 +81,10 @@ class _Known(dict):
         super().clear()
         self._bytes = 0
 
+    def serves(self, pieces: list[str]) -> bool:
+        """Whether pieces are to be looked up: all are known, or few are known at all yet."""
+        return self._bytes < WARM_CACHE_BYTES or all(map(self.__contains__, pieces))
+
 
 class _Encoding:
     def __init__(self, ranks_path: str):
@@ -122,7 +130,8 @@ class PieceTokenizer:
 
     A byte-level BPE tokenizer first splits a text, and never takes a piece across a place where
     white space follows other characters. Pieces between such places therefore have the same ids
-    alone as in the text, so each distinct piece is encoded once and then looked up.
+    alone as in the text, and pieces that are known need only be looked up. A text with new
+    pieces is encoded whole once a number are known, which gives the same ids.
 
     `ranks_path` is the rank file of the vocabulary. Its encoder gives the ids of the
     `tokenizers` file of the same vocabulary (a test compares them) in a fraction of the time.
@@ -132,6 +141,7 @@ class PieceTokenizer:
     def __init__(self, ranks_path: str, added: dict[str, int] | None = None):
         encoding = _encoding(ranks_path)
         self._known, self._behind = encoding.start, encoding.behind_space
+        self._whole = encoding.encode
         self._added = {mark: array("I", [n]).tobytes() for mark, n in (added or {}).items()}
         marks = sorted(map(re.escape, self._added), key=len, reverse=True)
         self._marks = re.compile(f"({'|'.join(marks)})")
@@ -147,8 +157,13 @@ class PieceTokenizer:
             "  " in text or "\n\n" in text or " \n" in text or "\n " in text
             or _IRREGULAR.search(text) is not None
         ):
-            return b"".join(map(self._known.__getitem__, _BORDER.split(text)))
+            pieces = _BORDER.split(text)
+            if not self._known.serves(pieces):
+                return self._whole(text)
+            return b"".join(map(self._known.__getitem__, pieces))
         first, *rest = text.replace("\n", " \n").split(" ")
+        if not self._behind.serves(rest):
+            return self._whole(text)
         head = self._known[first] if first else b""
         return head + b"".join(map(self._behind.__getitem__, rest))
 
