@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import even_steps, shuffle_partitions, stored, table, text_bytes_of_binary, words_of
+from .common import even_steps, shuffle_partitions, steps, steps_by_size, stored, table, text_bytes_of_binary, words_of
 
 # Bounds of the model: words that are broadcast with their counts, words that the network tells
 # apart, their classes, and units.
@@ -50,8 +50,10 @@ WINDOW = 32
 SPAN = 4096
 RATE = 0.1
 
-# Text bytes that a task holds at once, and weights in a block.
+# Text bytes that a task holds at once while it counts and trains, and while it scores, and weights
+# in a block.
 STEP = 12 << 20
+SCORE_STEP = 8 << 20
 BLOCK = 1 << 12
 
 # The end of a text, which is no word, for words hold no space.
@@ -74,10 +76,19 @@ def shapes(words: pa.Array) -> np.ndarray:
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Numbers of the tokens, where those of each text start, and the distinct tokens by number: the
     words with A-Z lowered and an end behind each text."""
-    spans = words_of(texts, lower=True)
-    codes, distinct = spans.coded()
-    codes = np.insert(codes, spans.first[1:], len(distinct))
-    first = spans.first + np.arange(len(spans.first))
+    # Words are found in a part of the texts at a time, whose byte masks are far larger than codes.
+    words, counts = [], []
+    for part in steps(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text"):
+        spans = words_of(part.column("text"), lower=True)
+        words.append(spans.array())
+        counts.append(np.diff(spans.first))
+    coded = pa.chunked_array(words, pa.large_binary()).dictionary_encode()
+    none = pa.array([], pa.large_binary())
+    distinct = coded.chunk(0).dictionary if coded.num_chunks else none
+    codes = np.concatenate([np.zeros(0, np.int32), *(c.indices.to_numpy() for c in coded.chunks)])
+    first = np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int64), *counts])))
+    codes = np.insert(codes, first[1:], len(distinct))
+    first += np.arange(len(first))
     return codes, first, pa.concat_arrays([distinct, pa.array([END], pa.large_binary())])
 
 
@@ -417,6 +428,53 @@ def fit(documents: DataFrame, words: Lexicon, *, text: str, part: Column) -> Net
 _RARE = "array<struct<word: string, shape: int, times: bigint>>"
 
 
+def _scored(network: Network, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows of a step as `_read_texts` has them. What it holds is freed before the next step."""
+    words = network.words
+    codes, first, distinct = tokens(batch.column("text"))
+    listed, symbol, group = words.look_up(distinct)
+    shape = shapes(distinct)
+    own = np.where(listed >= 0, words.counts[listed] if len(words.counts) else 0, 0)
+    log_count = np.where(listed >= 0, np.log10(own + 1.0), 0.0)
+    # Words beyond the network's have their share of their shape, known for listed ones.
+    outside = listed >= words.network
+    share = np.where(outside, log_count - np.log10(words.mass[shape]), 0.0)
+    score = np.zeros(len(codes))
+    state = np.zeros((LANES, UNITS), np.float32)
+    symbol, group = symbol.astype(np.int32)[codes], group.astype(np.int32)[codes]
+    for place, opens, held in lanes(first):
+        state = state[: place.shape[1]]
+        symbols = symbol[place]
+        before, state = network.read(symbols, opens, state)
+        score[place[held]] = network.output(before[held], symbols[held], group[place][held])
+    score = score / np.log(10) + share[codes]
+    sums = lambda values: np.add.reduceat(values, first[:-1])
+    rare = np.flatnonzero(listed[codes] < 0)
+    owner = np.searchsorted(first, rare, "right") - 1
+    pairs, times = np.unique(owner * len(distinct) + codes[rare], return_counts=True)
+    owner, code = pairs // len(distinct), pairs % len(distinct)
+    begins = np.append(0, np.cumsum(np.bincount(owner, minlength=batch.num_rows)))
+    unlisted = pa.StructArray.from_arrays(
+        [
+            distinct.take(pa.array(code)).cast(pa.large_string()).cast(pa.string()),
+            pa.array(shape[code].astype(np.int32)),
+            pa.array(times.astype(np.int64)),
+        ],
+        ["word", "shape", "times"],
+    )
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("kept"),
+            pa.array(np.diff(first)),
+            pa.array(sums((listed >= 0)[codes].astype(np.int64))),
+            pa.array(sums(log_count[codes])),
+            pa.array(sums(score)),
+            pa.ListArray.from_arrays(pa.array(begins, pa.int32()), unlisted),
+        ],
+        ["kept", "n_tokens", "n_listed", "log_counts", "log_network", "rare"],
+    )
+
+
 def _read_texts(documents: DataFrame, network: Network, text: str, keep: list[str | Column]) -> DataFrame:
     """For every row: its columns `kept`, its tokens and how many of them are listed, their summed
     log of (count + 1), the network's log of the probability of all classes and of the words it
@@ -425,51 +483,9 @@ def _read_texts(documents: DataFrame, network: Network, text: str, keep: list[st
     rows = documents.select(F.struct(*keep).alias("kept"), F.col(text).alias("text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = shared.value
-        words = network.words
-        for batch in even_steps(batches, "text", STEP):
-            codes, first, distinct = tokens(batch.column("text"))
-            listed, symbol, group = words.look_up(distinct)
-            shape = shapes(distinct)
-            own = np.where(listed >= 0, words.counts[listed] if len(words.counts) else 0, 0)
-            log_count = np.where(listed >= 0, np.log10(own + 1.0), 0.0)
-            # Words beyond the network's have their share of their shape, known for listed ones.
-            outside = listed >= words.network
-            share = np.where(outside, log_count - np.log10(words.mass[shape]), 0.0)
-            score = np.zeros(len(codes))
-            state = np.zeros((LANES, UNITS), np.float32)
-            symbol, group = symbol.astype(np.int32)[codes], group.astype(np.int32)[codes]
-            for place, opens, held in lanes(first):
-                state = state[: place.shape[1]]
-                symbols = symbol[place]
-                before, state = network.read(symbols, opens, state)
-                score[place[held]] = network.output(before[held], symbols[held], group[place][held])
-            score = score / np.log(10) + share[codes]
-            sums = lambda values: np.add.reduceat(values, first[:-1])
-            rare = np.flatnonzero(listed[codes] < 0)
-            owner = np.searchsorted(first, rare, "right") - 1
-            pairs, times = np.unique(owner * len(distinct) + codes[rare], return_counts=True)
-            owner, code = pairs // len(distinct), pairs % len(distinct)
-            begins = np.append(0, np.cumsum(np.bincount(owner, minlength=batch.num_rows)))
-            unlisted = pa.StructArray.from_arrays(
-                [
-                    distinct.take(pa.array(code)).cast(pa.large_string()).cast(pa.string()),
-                    pa.array(shape[code].astype(np.int32)),
-                    pa.array(times.astype(np.int64)),
-                ],
-                ["word", "shape", "times"],
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("kept"),
-                    pa.array(np.diff(first)),
-                    pa.array(sums((listed >= 0)[codes].astype(np.int64))),
-                    pa.array(sums(log_count[codes])),
-                    pa.array(sums(score)),
-                    pa.ListArray.from_arrays(pa.array(begins, pa.int32()), unlisted),
-                ],
-                ["kept", "n_tokens", "n_listed", "log_counts", "log_network", "rare"],
-            )
+        # Texts of like length are read side by side, for a long one costs a step for each word.
+        for batch in steps_by_size(batches, "text", SCORE_STEP):
+            yield _scored(shared.value, batch)
 
     kept = rows.schema["kept"].dataType.simpleString()
     return rows.mapInArrow(

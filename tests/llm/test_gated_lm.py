@@ -3,6 +3,7 @@ probabilities that add up, and held-out texts."""
 
 import math
 import re
+import tracemalloc
 from collections import Counter
 from zlib import crc32
 
@@ -11,6 +12,7 @@ import pyarrow as pa
 import pytest
 
 from commentscope.llm import gated_lm as lm
+from commentscope.llm.common import steps_by_size
 
 
 def words(text):
@@ -177,3 +179,42 @@ def test_odd_documents(spark, tmp_path):
     assert len(same) == 2 and same[0] == same[1]
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert lm.op11_lm_scoring(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_scoring_steps_are_even_and_of_like_length():
+    sizes = np.random.default_rng(5).integers(0, 400, 500)
+    texts = ["ab " * n for n in sizes.tolist()] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(501)), pa.array(texts)], ["key", "text"])
+    parts = [b.to_pylist() for b in steps_by_size(iter([batch]), "text", 60_000)]
+    filled = [sum(len(r["text"] or "") for r in part) for part in parts]
+    assert sorted(r["key"] for part in parts for r in part) == list(range(501))
+    # A rest of a few texts takes a step of the network for each word of the longest one.
+    assert len(parts) == 5 and min(filled) > 0.9 * max(filled)
+    longest = [[len(r["text"] or "") for r in part] for part in parts]
+    assert all(min(a) >= max(b) for a, b in zip(longest, longest[1:]))
+    assert [b.num_rows for b in steps_by_size(iter([batch]), "text", 1 << 20)] == [501]
+    assert list(steps_by_size(iter([batch.slice(0, 0)]), "text", 10))[0].num_rows == 0
+
+
+def test_tokens_hold_few_bytes_a_byte_of_text():
+    draw = np.random.default_rng(6)
+    texts = pa.array([" ".join(f"w{k}" for k in draw.integers(0, 3000, 2000)) for _ in range(600)])
+    tracemalloc.start()
+    try:
+        codes, first, distinct = lm.tokens(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 7 * texts.nbytes
+    back = distinct.take(pa.array(codes)).to_pylist()
+    assert b" ".join(back[first[7] : first[8] - 1]).decode() == texts[7].as_py()
+    assert len(codes) == 600 * 2001 and set(codes[first[1:] - 1]) == {len(distinct) - 1}
+
+
+def test_tokens_of_texts_without_words():
+    for texts in ([], [None], ["", " "], ["", "a B  a", None]):
+        codes, first, distinct = lm.tokens(pa.array(texts, pa.string()))
+        assert first.tolist() == np.append(0, np.cumsum([len(words(t)) for t in texts])).tolist()
+        assert [distinct[c].as_py() for c in codes.tolist()] == [
+            lm.END if w is None else w.encode() for t in texts for w in words(t)
+        ]
