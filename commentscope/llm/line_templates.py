@@ -199,15 +199,24 @@ def copy_groups(texts: DataFrame) -> DataFrame:
             ]
         )
     )
-    rows = sketches.select("doc", "sketch", F.explode(keys).alias("key"))
-    firsts = rows.groupBy("key").agg(F.min(F.struct("doc", "sketch")).alias("first"))
-    both = F.zip_with("sketch", "first.sketch", lambda a, b: F.when(a.isNotNull() | b.isNotNull(), a.eqNullSafe(b)))
+    rows = sketches.select("doc", F.explode(keys).alias("key"))
+    # Keys travel without sketches; these meet once for each pair of a text and a first one.
+    firsts = rows.groupBy("key").agg(F.min("doc").alias("first"))
+    pairs = stored(rows.join(firsts, "key").select("doc", "first").distinct(), "copy-pairs")
+    meet = (
+        pairs.where("doc <> first")
+        .join(sketches, "doc")
+        .join(sketches.select(F.col("doc").alias("first"), F.col("sketch").alias("other")), "first")
+    )
+    both = F.zip_with("sketch", "other", lambda a, b: F.when(a.isNotNull() | b.isNotNull(), a.eqNullSafe(b)))
     agree = F.size(F.filter(both, lambda same: same))
     links = stored(
-        rows.join(firsts, "key")
-        .where(agree >= AGREEMENT * F.size(F.array_compact(both)))
+        meet.where(agree >= AGREEMENT * F.size(F.array_compact(both)))
+        .select("doc", "first")
+        # A first text agrees with itself.
+        .unionByName(pairs.where("doc = first"))
         .groupBy("doc")
-        .agg(F.min("first.doc").alias("group")),
+        .agg(F.min("first").alias("group")),
         "copy-links",
     )
     groups = links
@@ -295,24 +304,29 @@ def drop_recurring_lines(
         )
 
     words = F.size(F.split(F.btrim(F.regexp_replace(text, f"[{SPACES}]+", " "), F.lit(" ")), " "))
-    light = 100 * F.col("_lost") <= round(100 * max_loss) * words
+
+    def light(words: Column) -> Column:
+        return 100 * F.col("_lost") <= round(100 * max_loss) * words
+
+    may_lose = light(words)
     if judge_copies:
         gone = stored(gone, "gone-lines")
+        # Words are counted ahead of the join, so that texts stay where they are.
         heavy = (
-            documents.withColumn("doc", F.xxhash64(text))
+            documents.select(F.xxhash64(text).alias("doc"), words.alias("_words"))
             .join(by_document(gone).drop("_at"), "doc")
-            .where(~light)
+            .where(~light(F.col("_words")))
             .select("doc")
             .distinct()
         )
         heavy = stored(heavy, "heavy")
         wide = _beyond_copies(documents, lines, doomed, heavy, text=text)
         gone = gone.join(heavy, "doc", "left_anti").unionByName(wide)
-        light = F.lit(True)
+        may_lose = F.lit(True)
     dropped = by_document(gone)
     names = [n for n in documents.columns if n not in ("n_lines", "n_dropped")]
     whole = F.split(text, "\n")
-    loses = F.when(F.col("_lost").isNotNull(), light)
+    loses = F.when(F.col("_lost").isNotNull(), may_lose)
     kept = F.array_join(
         F.filter(whole, lambda line, at: ~F.array_contains(F.col("_at"), at)), "\n"
     )
