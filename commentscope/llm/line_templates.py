@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..storage import new_dir
@@ -46,6 +46,19 @@ HOPS = 3
 # Leaves and lines whose hashes fit this many bytes are broadcast, others are joined by shuffle.
 MAX_BROADCAST_BYTES = 32 << 20
 
+# Lines of a leaf from which a round takes models, and tokens of these, so that a leaf's choice, which
+# compares each line with the models before it, stays a short step of one task.
+BATCH_LINES = 512
+BATCH_TOKENS = 1 << 15
+# Bytes that a token of a model takes about, and the parts into which leaves are dealt where models
+# are too many to broadcast.
+TOKEN_BYTES = 24
+LEAF_SHARDS = 16
+
+
+# A token with a digit. Matching starts where tokens do and never goes back.
+NUMBERED = "(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"
+
 
 def masked(text: Column) -> Column:
     """A text whose lines have single spaces between tokens and `<*>` for tokens with a digit.
@@ -58,7 +71,7 @@ def masked(text: Column) -> Column:
     spaced = F.btrim(F.regexp_replace(spaced, " ?\n ?", "\n"), F.lit(" "))
     spaced = F.when(reduce(Column.__or__, irregular), spaced).otherwise(text)
     return F.when(
-        spaced.rlike("[0-9]"), F.regexp_replace(spaced, "[^ \n]*[0-9][^ \n]*", "<*>")
+        spaced.rlike("[0-9]"), F.regexp_replace(spaced, NUMBERED, "<*>")
     ).otherwise(spaced)
 
 
@@ -74,17 +87,22 @@ def line_table(
     min_tokens: int = MIN_TOKENS,
     depth: int = DEPTH,
 ) -> DataFrame:
-    """`doc` (hash of the text), `at`, `masked`, `tokens`, `leaf` and `line` (hash of the masked
-    line) of each line with enough tokens."""
+    """`doc` (hash of the text), `words` (tokens of the text), `at`, `masked`, `tokens`, `leaf` and
+    `line` (hash of the masked line) of each line with enough tokens."""
     tokens = tokens_in(F.col("masked")).alias("tokens")
+    # Spaces part the tokens of a line; each line that is not blank has one token more.
+    gaps = F.length("whole") - F.length(F.replace("whole", F.lit(" "), F.lit("")))
+    words = gaps + F.size(F.array_remove("lines", ""))
     return (
         documents.where(F.col(text).isNotNull())
         # Hashed and masked before the lines part: once per text, not once per line.
-        .select(F.xxhash64(text).alias("doc"), F.split(masked(F.col(text)), "\n").alias("lines"))
+        .select(F.xxhash64(text).alias("doc"), masked(F.col(text)).alias("whole"))
+        .select("doc", "whole", F.split("whole", "\n").alias("lines"))
+        .select("doc", words.cast("long").alias("words"), "lines")
         # The outer form: for the plain one the optimizer would add a filter on the size of the
         # list, and compute it twice.
-        .select("doc", F.posexplode_outer("lines").alias("at", "masked"))
-        .select("doc", "at", "masked", tokens)
+        .select("doc", "words", F.posexplode_outer("lines").alias("at", "masked"))
+        .select("doc", "words", "at", "masked", tokens)
         .where(F.col("tokens") >= min_tokens)
         .select(
             "*",
@@ -99,6 +117,67 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() * 8 <= MAX_BROADCAST_BYTES else df
 
 
+def _alike(words: Column, other: Column, similarity: float) -> Column:
+    """Whether two lists of as many tokens agree in enough places."""
+    agree = F.size(F.filter(F.zip_with(words, other, lambda a, b: a == b), lambda same: same))
+    return 100 * agree >= round(100 * similarity) * F.size(words)
+
+
+def _models(rest: DataFrame, similarity: float) -> DataFrame:
+    """`leaf` and `models`, tokens of those among the leaf's first lines that agree with no model
+    before them. All lines of smaller leaves are among the first."""
+    order = Window.partitionBy("leaf").orderBy(F.desc("n"), "masked")
+    place = F.col("place")
+    first = (
+        rest.select("leaf", "masked", "tokens", F.row_number().over(order).alias("place"))
+        .where(place <= BATCH_LINES)
+        .where((place == 1) | (place * F.col("tokens") <= BATCH_TOKENS))
+        .groupBy("leaf")
+        .agg(F.sort_array(F.collect_list(F.struct("place", "masked"))).alias("first"))
+    )
+    models = F.aggregate(
+        F.transform("first", lambda line: F.split(line["masked"], " ")),
+        F.array().cast("array<array<string>>"),
+        lambda models, line: F.when(
+            F.exists(models, lambda model: _alike(line, model, similarity)), models
+        ).otherwise(F.concat(models, F.array(line))),
+    )
+    return first.select("leaf", models.alias("models"))
+
+
+def _judged(rest: DataFrame, models: DataFrame, similarity: float) -> DataFrame:
+    """`rest` with `unit`, the hash of the first model that a line agrees with, or null. `models` is
+    stored."""
+    tokens = models.agg(F.sum(F.size(F.flatten("models")))).first()[0] or 0
+    on = ["leaf"]
+    names = rest.columns
+    if tokens * TOKEN_BYTES <= MAX_BROADCAST_BYTES:
+        models = F.broadcast(models)
+    else:
+        # A leaf of many lines is dealt to several tasks.
+        on = ["leaf", "shard"]
+        rest = rest.withColumn("shard", F.pmod("line", F.lit(LEAF_SHARDS)))
+        shards = F.sequence(F.lit(0).cast("long"), F.lit(LEAF_SHARDS - 1).cast("long"))
+        models = models.withColumn("shard", F.explode(shards))
+    words = F.split("masked", " ")
+    model = F.aggregate(
+        "models",
+        F.lit(None).cast("array<string>"),
+        # The first one stays: no other is compared after it.
+        lambda found, model: F.coalesce(found, F.when(_alike(words, model, similarity), model)),
+    )
+    return (
+        rest.join(models, on)
+        .withColumn("model", model)
+        .select(
+            *names,
+            F.when(
+                F.col("model").isNotNull(), F.xxhash64("leaf", F.array_join("model", " "))
+            ).alias("unit"),
+        )
+    )
+
+
 def recurring_lines(
     lines: DataFrame, *, min_documents: int = MIN_DOCUMENTS, similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -114,52 +193,45 @@ def recurring_lines(
         .select("leaf")
     )
     reached = _bounded(stored(reached, "leaves"))
-    held = lines.join(reached, "leaf").select("leaf", "masked", "tokens", "doc").distinct()
+    held = lines.join(reached, "leaf").select("leaf", "line", "masked", "tokens", "doc").distinct()
     held = stored(held, "leaf-lines")
-    rest = held.groupBy("leaf", "masked", "tokens").agg(F.count("*").alias("n"))
-    line = F.xxhash64("masked").alias("line")
-    alone = rest.where(F.col("n") >= min_documents).select(line, line.alias("unit"))
-    agree = F.size(
-        F.filter(
-            F.arrays_zip(
-                F.split("masked", " ").alias("a"), F.split("model.masked", " ").alias("b")
-            ),
-            lambda pair: pair["a"] == pair["b"],
-        )
+    rest = stored(
+        held.groupBy("leaf", "line", "masked", "tokens").agg(F.count("*").alias("n")), "rest-lines"
     )
+    alone = rest.where(F.col("n") >= min_documents).select("line", F.col("line").alias("unit"))
     found = new_dir(lines.sparkSession, "template-lines")
-    alone.write.parquet(found)
-    # Each round takes one template out of each leaf. Every round takes a line at least from each
-    # leaf that is left, so the rounds end.
+    # Each round takes one line at least from each leaf that is left, so the rounds end.
     while True:
-        model = rest.groupBy("leaf").agg(
-            F.min(F.struct((-F.col("n")).alias("n"), "masked")).alias("model")
-        )
-        judged = rest.join(model, "leaf").select(
-            "leaf",
-            "masked",
-            "tokens",
-            "n",
-            F.xxhash64("leaf", "model.masked").alias("unit"),
-            (100 * agree >= round(100 * similarity) * F.col("tokens")).alias("alike"),
+        models = stored(_models(rest, similarity), "models")
+        judged = stored(_judged(rest, models, similarity), "judged-lines")
+        judged.where("unit is not null").select("line", "unit").write.mode("append").parquet(found)
+        # What is left of a leaf recurs only if its lines are in enough documents together; these
+        # are no more than the lines' own documents.
+        left = (
+            judged.where("unit is null")
+            .groupBy("leaf")
+            .agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= min_documents)
+            .select("leaf")
         )
-        judged = stored(judged, "judged-lines")
-        # Documents of the leaf's template, and of its lines that no model has taken yet.
-        sides = (
-            held.join(judged.select("leaf", "masked", "alike"), ["leaf", "masked"])
-            .select("leaf", "alike", "doc")
-            .distinct()
-            .groupBy("leaf", "alike")
-            .agg(F.count("*").alias("documents"))
-            .where(F.col("documents") >= min_documents)
-            .select("leaf", "alike")
+        left = stored(left, "leaves-left")
+        if left.isEmpty():
+            break
+        rest = stored(
+            judged.where("unit is null").drop("unit").join(left, "leaf", "left_semi"), "rest-lines"
         )
-        kept = stored(judged.join(sides, ["leaf", "alike"]), "template-sides")
-        kept.where("alike").select(line, "unit").write.mode("append").parquet(found)
-        rest = kept.where("not alike").select("leaf", "masked", "tokens", "n")
-        if rest.isEmpty():
-            schema = "line bigint, unit bigint"
-            return lines.sparkSession.read.schema(schema).parquet(found).distinct()
+    taken = lines.sparkSession.read.schema("line bigint, unit bigint").parquet(found)
+    wide = (
+        held.select("line", "doc")
+        .join(taken, "line")
+        .select("unit", "doc")
+        .distinct()
+        .groupBy("unit")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") >= min_documents)
+        .select("unit")
+    )
+    return alone.unionByName(taken.join(wide, "unit").select("line", "unit")).distinct()
 
 
 def short_lines(lines: DataFrame, *, min_documents: int) -> DataFrame:
@@ -294,46 +366,34 @@ def drop_recurring_lines(
     doomed = stored(doomed, "recurring")
     gone = (
         lines.join(_bounded(stored(doomed.select("line").distinct(), "doomed")), "line")
-        .select("doc", "at", "tokens")
+        .select("doc", "words", "at", "tokens")
         .distinct()  # rows with the same text
     )
-
-    def by_document(gone: DataFrame) -> DataFrame:
-        return gone.groupBy("doc").agg(
-            F.collect_set("at").alias("_at"), F.sum("tokens").alias("_lost")
-        )
-
-    words = F.size(F.split(F.btrim(F.regexp_replace(text, f"[{SPACES}]+", " "), F.lit(" ")), " "))
-
-    def light(words: Column) -> Column:
-        return 100 * F.col("_lost") <= round(100 * max_loss) * words
-
-    may_lose = light(words)
+    lost = F.sum("tokens").alias("_lost")
+    light = 100 * F.col("_lost") <= round(100 * max_loss) * F.col("words")
     if judge_copies:
         gone = stored(gone, "gone-lines")
-        # Words are counted ahead of the join, so that texts stay where they are.
-        heavy = (
-            documents.select(F.xxhash64(text).alias("doc"), words.alias("_words"))
-            .join(by_document(gone).drop("_at"), "doc")
-            .where(~light(F.col("_words")))
-            .select("doc")
-            .distinct()
+        heavy = stored(
+            gone.groupBy("doc", "words").agg(lost).where(~light).select("doc"), "heavy"
         )
-        heavy = stored(heavy, "heavy")
         wide = _beyond_copies(documents, lines, doomed, heavy, text=text)
-        gone = gone.join(heavy, "doc", "left_anti").unionByName(wide)
-        may_lose = F.lit(True)
-    dropped = by_document(gone)
+        gone = gone.join(heavy, "doc", "left_anti").drop("words").unionByName(wide)
+        dropped = gone.groupBy("doc").agg(F.collect_set("at").alias("_at")).withColumn("_loses", F.lit(True))
+    else:
+        dropped = (
+            gone.groupBy("doc", "words")
+            .agg(F.collect_set("at").alias("_at"), lost)
+            .select("doc", "_at", light.alias("_loses"))
+        )
     names = [n for n in documents.columns if n not in ("n_lines", "n_dropped")]
     whole = F.split(text, "\n")
-    loses = F.when(F.col("_lost").isNotNull(), may_lose)
     kept = F.array_join(
         F.filter(whole, lambda line, at: ~F.array_contains(F.col("_at"), at)), "\n"
     )
     return (
         documents.withColumn("_doc", F.xxhash64(text))
         .join(dropped.withColumnRenamed("doc", "_doc"), "_doc", "left")
-        .withColumn("_loses", F.coalesce(loses, F.lit(False)))
+        .withColumn("_loses", F.coalesce("_loses", F.lit(False)))
         .select(
             *[
                 F.when(F.col("_loses"), kept).otherwise(F.col(n)).alias(n) if n == text else F.col(f"`{n}`")
