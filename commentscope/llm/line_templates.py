@@ -241,7 +241,7 @@ def short_lines(lines: DataFrame, *, min_documents: int) -> DataFrame:
 
 
 def copy_groups(texts: DataFrame) -> DataFrame:
-    """`doc`, `group` for stored texts `doc`, `text` (distinct docs, no nulls), by DataFrame
+    """`doc`, `group` for texts `doc`, `text` (distinct docs, no nulls), read once, by DataFrame
     functions only: near copies, with about 0.8 of their five-word runs in common, are in one group,
     whose name is one of them.
 
@@ -249,14 +249,18 @@ def copy_groups(texts: DataFrame) -> DataFrame:
     group, and groups of groups are followed `HOPS` times. A text under five words is one run.
     """
     words = F.filter(F.split("text", f"[{SPACES}]+"), lambda w: w != "")
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))),
-        lambda at: F.xxhash64(F.slice("words", at, 5)),
-    )
-    part = F.pmod("run", F.lit(SKETCH))
+    # The list beside itself, shifted: a hash passes over the nulls that fill up a text of fewer words.
+    starts = F.greatest(F.size("words") - 4, F.lit(1))
+    names = [f"w{k}" for k in range(1, 6)]
+    shifted = [F.slice("words", k, starts).alias(n) for k, n in enumerate(names, 1)]
+    run = F.xxhash64(*names)
+    part = F.col("part")
     sketches = stored(
         texts.select("doc", words.alias("words"))
-        .select("doc", F.explode(runs).alias("run"))
+        .select("doc", F.inline_outer(F.arrays_zip(*shifted)))
+        .select("doc", run.alias("run"))
+        .groupBy("doc", F.pmod("run", F.lit(SKETCH)).alias("part"))
+        .agg(F.min("run").alias("run"))
         .groupBy("doc")
         .agg(F.array(*[F.min(F.when(part == k, F.col("run"))) for k in range(SKETCH)]).alias("sketch")),
         "sketches",
@@ -320,7 +324,7 @@ def _beyond_copies(
         .join(holders.select("doc").distinct(), "doc", "left_semi")
         .dropDuplicates(["doc"])
     )
-    groups = copy_groups(stored(texts, "holder-texts"))
+    groups = copy_groups(texts)
     wide = (
         holders.join(groups, "doc")
         .select("unit", "needed", "group")

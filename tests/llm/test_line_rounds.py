@@ -101,3 +101,30 @@ def test_words_of_a_text_stand_beside_its_lines(spark):
         (15, 6, "j k l m n <*>"),
         (5, 5, "one two three four five"),
     }
+
+
+def test_sketches_hash_runs_of_a_text_without_list_functions(spark, monkeypatch):
+    """The same sketch as hashing each slice of five words, for any number of words."""
+    kept = {}
+    stored = line_templates.stored
+    monkeypatch.setattr(
+        line_templates,
+        "stored",
+        lambda df, name: kept.update({name: (stored(df, name), df)}) or kept[name][0],
+    )
+    texts = [" ".join(f"w{k * k % 31}" for k in range(n)) for n in (0, 1, 3, 5, 6, 9, 80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc bigint, text string")
+    line_templates.copy_groups(docs)
+    runs = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))),
+        lambda at: F.xxhash64(F.slice("words", at, 5)),
+    )
+    words = F.filter(F.split("text", " "), lambda w: w != "")
+    wanted = defaultdict(dict)
+    for r in docs.withColumn("words", words).select("doc", F.explode(runs).alias("run")).collect():
+        part = r["run"] % line_templates.SKETCH
+        wanted[r["doc"]][part] = min(r["run"], wanted[r["doc"]].get(part, r["run"]))
+    sketches, plan = kept["sketches"]
+    got = {r["doc"]: {k: v for k, v in enumerate(r["sketch"]) if v is not None} for r in sketches.collect()}
+    assert got == wanted
+    assert "transform(" not in plan._jdf.queryExecution().optimizedPlan().toString()
