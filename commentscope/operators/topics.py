@@ -5,14 +5,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import LDA, LDAModel
+from pyspark.ml.clustering import LDAModel
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from ..storage import stored
+from ..storage import new_dir
+from .online_lda import fit_online
 
 
 def _documents(comments: DataFrame) -> DataFrame:
@@ -100,6 +101,11 @@ class Fit:
     kept_out: DataFrame
 
 
+# A stored vector, read without Spark's type for it, which makes an object of each.
+PLAIN_VECTORS = (
+    "part bigint, features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+)
+
 # Ids are dealt into so many parts by their hash.
 PARTS = 10_000
 
@@ -143,13 +149,21 @@ def fit_topics(
     vectorizer = CountVectorizerModel.from_vocabulary(
         terms, inputCol="terms", outputCol="features"
     ).setBinary(not count_terms)
-    vectors = stored(vectorizer.transform(documents).select("part", "features"), "vectors")
+    transformed = vectorizer.transform(documents).select("part", "features")
+    path = new_dir(comments.sparkSession, "vectors")
+    transformed.write.parquet(path)
+    read = comments.sparkSession.read
+    vectors = read.schema(transformed.schema).parquet(path)
     first_held_out = round(PARTS * (1 - held_out_share))
-    seen = vectors.where(F.col("part") < round(first_held_out * sampling_rate)).select("features")
-    model = LDA(
-        k=num_topics, maxIter=max_iter, optimizer="online", seed=seed, featuresCol="features",
-        subsamplingRate=1.0,
-    ).fit(seen)
+    fitted = F.col("part") < round(first_held_out * sampling_rate)
+    seen = vectors.where(fitted).select("features")
+    model = fit_online(
+        read.schema(PLAIN_VECTORS).parquet(path).where(fitted).select("features"),
+        len(terms),
+        num_topics=num_topics,
+        max_iter=max_iter,
+        seed=seed,
+    )
     kept_out = vectors.where(F.col("part") >= first_held_out).select("features")
     return Fit(model, terms, seen, kept_out)
 
